@@ -1,0 +1,5 @@
+"""Intentionally empty: the jobs this package covers are daily batches.
+
+Daily layers are rebuilt incrementally by :mod:`clickloom.sources.layers`, which
+overwrites only the day partitions it writes.
+"""
