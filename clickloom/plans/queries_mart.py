@@ -410,7 +410,10 @@ def _(spark, root):
     return _flat(made.withColumn("label", F.round(F.col("label").cast("double"), 6)))
 
 
-@query("feature_mart", _dataset_sql(FEATURE_GROUPS))
+MART_GROUPS = [("user_id",), ("user_id", "item_id"), ("item_id",), ("socdem_cluster", "brand_id")]
+
+
+@query("feature_mart", _dataset_sql(MART_GROUPS))
 def _(spark, root):
     made = run_mart(
         adapters.interactions(spark, root),
@@ -419,6 +422,7 @@ def _(spark, root):
         scratch_path(spark, "mart"),
         num_days=WINDOW,
         n_last_days=10_000,
+        groups=MART_GROUPS,
     )
     return _flat(made.withColumn("label", F.round(F.col("label").cast("double"), 6)))
 
