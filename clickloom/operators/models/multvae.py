@@ -71,7 +71,9 @@ def _walk(h: np.ndarray, weights: Weights, side: str, depth: int) -> list[np.nda
     path = [h]
     for i in range(depth):
         h = h @ weights[f"{side}{i}.w"] + weights[f"{side}{i}.b"]
-        path.append(np.tanh(h) if i < depth - 1 else h)
+        if i < depth - 1:
+            h = np.tanh(h)
+        path.append(h)
     return path
 
 
