@@ -53,8 +53,16 @@ def filter_selected(
 
 def compact_dtypes(df: DataFrame) -> DataFrame:
     """64-bit floats to 32 bit; integers stay as they are."""
-    doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    return df.withColumns({c: F.col(c).cast("float") for c in doubles}) if doubles else df
+    if not any(isinstance(f.dataType, T.DoubleType) for f in df.schema.fields):
+        return df
+    return df.selectExpr(
+        *(
+            f"CAST(`{f.name}` AS FLOAT) AS `{f.name}`"
+            if isinstance(f.dataType, T.DoubleType)
+            else f"`{f.name}`"
+            for f in df.schema.fields
+        )
+    )
 
 
 def attribute_names(schema: T.StructType, key: str) -> dict[str, str]:

@@ -50,11 +50,12 @@ def daily_pair_counters(
     """
     cells = []
     for action in actions:
-        is_action = F.col("action_type") == action
-        for sub in subdomains:
-            hit = is_action & (F.col("subdomain") == sub)
-            cells.append(F.count_if(hit).alias(f"num_{action}_{sub}"))
-        cells.append(F.count_if(is_action).alias(f"num_{action}_all_subdomains"))
+        is_action = f"action_type = '{action}'"
+        cells += [
+            F.expr(f"count_if({is_action} AND subdomain = '{sub}') AS `num_{action}_{sub}`")
+            for sub in subdomains
+        ]
+        cells.append(F.expr(f"count_if({is_action}) AS `num_{action}_all_subdomains`"))
     known = events.where(F.col("action_type").isin(list(actions)))
     return known.groupBy("day", "user_id", "item_id").agg(*cells)
 

@@ -68,7 +68,7 @@ def window_facts(enriched: DataFrame, counters: Sequence[str]) -> WindowFacts:
     if first is None:
         raise FileNotFoundError("no stored days")
     present = enriched.groupBy("day").agg(
-        *(F.coalesce(F.max(F.col(c) > 0), F.lit(False)).alias(f"_has_{c}") for c in counters)
+        *(F.expr(f"coalesce(max({c} > 0), false) AS _has_{c}") for c in counters)
     )
     price = None if low is None else (low, high)
     return WindowFacts(first, last, price, cut_lineage(present))
@@ -126,7 +126,7 @@ def rolling_features(
         )
     else:
         partials = rows.groupBy(*keys, "day").agg(
-            *(F.sum(c).alias(c) for c in counters),
+            *(F.expr(f"sum({c}) AS {c}") for c in counters),
             F.count("*").alias("_n"),
             F.sum("price").alias("_ps"),
             F.sum(priced).alias("_pn"),
@@ -134,17 +134,20 @@ def rolling_features(
             F.max("price").alias("_hi"),
         )
 
-    counted = {c: F.col("_n") for c in counters}
+    counted = {c: "_n" for c in counters}
     if absent_day == "null":
         # One row per stored day bounds this broadcast.
         partials = partials.join(F.broadcast(facts.present), "day")
-        counted = {c: F.when(F.col(f"_has_{c}"), F.col("_n")) for c in counters}
+        counted = {c: f"CASE WHEN _has_{c} THEN _n END" for c in counters}
 
     def name(stat: str) -> str:
         return feature_name(stat, keys, num_days)
 
-    means = [F.try_divide(F.sum(c), F.sum(counted[c])).alias(name(f"mean_{c}")) for c in counters]
-    sums = [F.sum(c).alias(name(f"sum_{c}")) for c in counters]
+    means = [
+        F.expr(f"try_divide(sum({c}), sum({counted[c]})) AS `{name(f'mean_{c}')}`")
+        for c in counters
+    ]
+    sums = [F.expr(f"sum({c}) AS `{name(f'sum_{c}')}`") for c in counters]
     price = [
         F.try_divide(F.sum("_ps"), F.sum("_pn")).alias(name("mean_price")),
         F.min("_lo").alias(name("min_price")),

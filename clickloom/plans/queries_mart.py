@@ -200,11 +200,12 @@ def mart_sql(body: str, groups: list[tuple[str, ...]], days: int, **extra: str)
 
 def _flat(df):
     """Feature columns as rounded doubles, the rest as is."""
-    cols = [
-        F.round(F.col(c).cast("double"), 4).alias(c) if c.startswith("f_num__") else F.col(c)
-        for c in df.columns
-    ]
-    return df.select(*cols)
+    return df.selectExpr(
+        *(
+            f"round(CAST(`{c}` AS DOUBLE), 4) AS `{c}`" if c.startswith("f_num__") else f"`{c}`"
+            for c in df.columns
+        )
+    )
 
 
 def _enriched(spark, root, groups):
