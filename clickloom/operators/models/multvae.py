@@ -21,7 +21,8 @@ from clickloom.operators.scoring import densify, score_histories
 from clickloom.session import materialize
 
 MAX_WEIGHT_BYTES = 1 << 30
-SLICE = 1 << 20
+SLICE = 1 << 16
+"""Weights per averaged piece: with a thousand tasks one group holds 256 MB."""
 
 Weights = dict[str, np.ndarray]
 

@@ -158,3 +158,9 @@ def test_trials_pick_the_best(spark):
     trials = draw(space, 4, seed=1)
     assert best == max(trials, key=lambda t: -((t["x"] - 3) ** 2))
     assert table.count() == 4
+
+
+def test_no_items_no_recommendations(spark):
+    users = spark.createDataFrame([(1, [1.0])], "user_id long, features array<double>")
+    none = spark.createDataFrame([], "item_id long, features array<double>")
+    assert scoring.recommend_top_k(users, none, 3).columns == ["user_id", "item_id", "score"]
