@@ -50,7 +50,7 @@ def run_experiment(
     """
     errors = None
     if model == "popularity":
-        recs = popular_items(train, k, users=test, **params).withColumn("item_order", F.col("pos"))
+        recs = popular_items(train, k, users=test, **params)
     elif model == "als":
         recs, errors = _factor_run(fit_als(train, target, **params), test, target, k)
     elif model == "svd":

@@ -164,3 +164,11 @@ def test_no_items_no_recommendations(spark):
     users = spark.createDataFrame([(1, [1.0])], "user_id long, features array<double>")
     none = spark.createDataFrame([], "item_id long, features array<double>")
     assert scoring.recommend_top_k(users, none, 3).columns == ["user_id", "item_id", "score"]
+
+
+def test_popularity_experiment(spark, blocks):
+    from clickloom.plans.experiments import run_experiment
+
+    test = blocks.where("user_id < 5").withColumn("item_id", F.col("item_id") + 1)
+    row = run_experiment("popularity", blocks, test, k=5).first()
+    assert row["model"] == "popularity" and 0 <= row["ndcg"] <= 1 and row["rmse"] is None
