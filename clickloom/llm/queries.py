@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import chat, mixing, simhash, tokencounts, tokenfiles
+from clickloom.llm import (
+    ann,
+    chat,
+    decontam,
+    mixing,
+    quality,
+    simhash,
+    tokencounts,
+    tokenfiles,
+    toxicity,
+    warc,
+)
 from clickloom.session import apply_runtime_conf, materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,12 +49,82 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query("op1_quality_classifier")
+def op1(spark, root):
+    docs = table(spark, root, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality.train(docs))
+    return scored.select(
+        "doc_id", "score", (F.col("score") >= quality.THRESHOLD).alias("keep")
+    )
+
+
 @query("op2_token_files")
 def op2(spark, root):
     folder = tokenfiles.write_token_files(table(spark, root, "documents"), byte_bpe())
     return tokenfiles.read_token_files(spark, folder)
 
 
+@query("op3_nearest")
+def op3(spark, root):
+    vectors = table(spark, root, "embeddings")
+    found = ann.nearest(vectors, vectors.where("vec_id % 20 = 0"), 20)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+@query("op4_decontamination")
+def op4(spark, root):
+    return decontam.find_contaminated(
+        table(spark, root, "documents"), table(spark, root, "benchmark")
+    )
+
+
+def held_out():
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+
+
+@query("op5_toxicity")
+def op5(spark, root):
+    docs, labels = table(spark, root, "documents"), table(spark, root, "labels")
+    model = toxicity.train(docs, labels.where(~held_out()))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+WARC_SQL = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload,
+         octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha1(coalesce(html, '')) AS h
+  FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY h, payload_bytes) AS response FROM p),
+v AS (SELECT *, [CAST('0x' || substr(h, 1 + 5 * i, 5) AS INTEGER) for i in range(8)] AS parts FROM m)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                               1 + CAST((parts[1 + i // 4] >> (15 - 5 * (i % 4))) & 31 AS INTEGER), 1)
+                        for i in range(32)], '') AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM response THEN 'response' ELSE 'revisit' END
+         AS record_type,
+       CASE WHEN page_id IS NOT DISTINCT FROM response THEN NULL ELSE response END AS refers_to
+FROM v"""
+
+
+@query("op6_warc_archives", WARC_SQL)
+def op6(spark, root):
+    index = warc.write_archives(table(spark, root, "pages"), min_bytes=0)
+    return warc.read_records(index).select(
+        F.col("id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        "refers_to",
+    )
+
+
 @query("op7_simhash_groups")
 def op7(spark, root):
     groups = simhash.simhash_groups(table(spark, root, "documents"), words=4, radius=4)
