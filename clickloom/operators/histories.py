@@ -34,20 +34,15 @@ def min_interactions_events(df: DataFrame, n: int = 5) -> DataFrame:
     return min_interactions(df, n)
 
 
-def truth_lists(test: DataFrame, target: str, chunk: int = 100_000) -> DataFrame:
+def truth_lists(test: DataFrame, target: str) -> DataFrame:
     """Per user the items and relevancies of the test part, one entry per event.
 
-    A user with more than ``chunk`` events gets several rows (salted by a hash), so no
-    list grows without bound; the metrics merge rows of the same user.
+    One row per user, whatever its size: this is the edge format. The pair forms of the
+    metrics reduce truth to one row per (user, item) first and need no list.
     """
-    sizes = test.groupBy("user_id").agg(F.count("*").alias("_n"))
-    parts = sizes.select("user_id", F.expr(f"_n div {int(chunk)} + 1").alias("_parts"))
-    salt = F.pmod(F.xxhash64(*test.columns), F.col("_parts"))
     entries = F.collect_list(F.struct(F.col("item_id"), F.col(target).alias("rel")))
     return (
-        test.join(parts, "user_id")
-        .withColumn("_part", salt)
-        .groupBy("user_id", "_part")
+        test.groupBy("user_id")
         .agg(F.array_sort(entries).alias("_e"))
         .select(
             "user_id",

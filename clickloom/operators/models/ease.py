@@ -11,14 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.numerics import single_thread_blas
-from clickloom.operators.cleaning import filter_top_items
 from clickloom.operators.ranking import dense_index
 from clickloom.operators.scoring import score_histories
 from clickloom.session import cut_lineage, materialize
 
-CATALOGUE = 5_000
-"""Most frequent items the model covers; bounds every matrix below to CATALOGUE squared."""
-
 
 @dataclass(frozen=True)
 class EaseModel:
@@ -75,23 +71,22 @@ def _gram(counts: DataFrame, n: int, tasks: int) -> DataFrame:
 
 
 def fit_ease(
-    events: DataFrame, reg: float = 300.0, max_items: int = CATALOGUE, tasks: int | None = None
+    events: DataFrame, reg: float = 300.0, tasks: int | None = None
 ) -> EaseModel:
-    """B with zero diagonal over the ``max_items`` most frequent items.
+    """B with zero diagonal over all items of ``events``.
 
-    Repeated events of a pair add up in X. The Gram matrix is at most ``max_items``
-    squared (200 MB at 5,000) and is broadcast; tasks solve separate column blocks.
+    Repeated events of a pair add up in X. The Gram matrix is dense, items x items, and is
+    broadcast (200 MB at 5,000 items): to model the head of a catalogue, cut train and test
+    alike with ``filter_top_items`` before. Tasks solve separate column blocks.
     """
-    if max_items > 2 * CATALOGUE:
-        raise ValueError(f"a dense model over {max_items} items does not fit an executor")
     spark = events.sparkSession
     sc = spark.sparkContext
-    kept = filter_top_items(events, max_items).where(F.col("user_id").isNotNull())
+    kept = events.where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull())
     counts = kept.groupBy("user_id", "item_id").agg(F.count("*").cast("double").alias("x"))
     items = dense_index(counts, "item_id", "item_idx")
     counts = materialize(counts.join(F.broadcast(items), "item_id"), "ease-counts")
     n = items.count()
-    rows = _gram(counts, n, tasks or min(64, sc.defaultParallelism)).toPandas()
+    rows = _gram(counts, n, tasks or sc.defaultParallelism).toPandas()
     gram = np.zeros((n, n))
     gram[rows["i"].to_numpy()] = np.stack(rows["v"].to_numpy())
     gram[np.diag_indices(n)] += reg

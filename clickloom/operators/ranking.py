@@ -105,12 +105,10 @@ def last_k_interactions(
     timestamp: str = "ts",
     tie: str = "event_id",
     actions: Sequence[str] | None = None,
-    chunk: int = 100_000,
 ) -> DataFrame:
     """Per user, every other column as a list in ascending time, last ``k`` only.
 
-    ``k=None`` keeps all interactions. A user with more than ``chunk`` of them gets
-    several rows, numbered by ``part``, so that no single list grows without bound.
+    ``k=None`` keeps all interactions: one row per user, of any size.
     """
     kept = events.where(F.col("action_type").isin(list(actions or ACTIONS)))
     columns = [c for c in events.columns if c != user]
@@ -118,11 +116,8 @@ def last_k_interactions(
         newest = [F.desc(day), F.desc(timestamp), F.desc(tie)]
         kept = best_per_group(kept, [user], newest, k).withColumn("_pos", -F.col("_rn"))
         return _lists(kept, [user], "_pos", columns)
-    order = [F.col(day), F.col(timestamp), F.col(tie)]
-    placed = position_within(kept, [user], order, "_pos").withColumn(
-        "part", F.expr(f"_pos div {int(chunk)}")
-    )
-    return _lists(placed, [user, "part"], "_pos", columns)
+    order = F.struct(F.col(day), F.col(timestamp), F.col(tie))
+    return _lists(kept.withColumn("_pos", order), [user], "_pos", columns)
 
 
 def top_k_per_user(

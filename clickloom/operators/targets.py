@@ -5,14 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.columns import lookup
-from clickloom.vocab import ACTIONS
-
-MAX_ACTIONS = 1_000
-"""Distinct actions up to which the weights become a literal map in the plan."""
-
-SCALAR_KINDS = ("log_target", "sqrt_target", "unproccessed")
-MULTICLASS_COLUMNS = ["target_view", "target_clickout", "target_like", "target_click"]
+from clickloom.vocab import ACTIONS, MULTICLASS_COLUMNS, SCALAR_KINDS
 
 
 def action_weights(df: DataFrame) -> DataFrame:
@@ -33,24 +26,15 @@ def action_weights(df: DataFrame) -> DataFrame:
 def _attach(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Add weight columns (output name -> column of ``action_weights``).
 
-    The weights are a handful of numbers, so they are read once and put into the
-    plan as a constant map: no join, no shuffle of the events. Should there be more
-    distinct actions than ``MAX_ACTIONS``, an ordinary join does the same.
+    The table of weights has one row per distinct action of the vocabulary, so it is
+    broadcast and the events are not shuffled.
     """
     table = action_weights(df).where(F.col("action_type").isNotNull())
-    names = list(dict.fromkeys(columns.values()))
-    small = table.select("action_type", *names).limit(MAX_ACTIONS + 1).collect()
-    if not small:
-        return df.limit(0).withColumns({out: F.lit(None).cast("double") for out in columns})
-    if len(small) > MAX_ACTIONS:
-        wide = table.select("action_type", *(F.col(src).alias(out) for out, src in columns.items()))
-        return df.join(wide, "action_type")
-    known = df.where(F.col("action_type").isNotNull())
-    return known.withColumns(
-        {
-            out: lookup("action_type", {row["action_type"]: row[src] for row in small})
-            for out, src in columns.items()
-        }
+    weights = table.select(
+        F.col("action_type").alias("_action"), *(F.col(src).alias(f"_{out}") for out, src in columns.items())
+    )
+    return df.join(F.broadcast(weights), F.col("action_type") == F.col("_action")).select(
+        *df.columns, *(F.col(f"_{out}").alias(out) for out in columns)
     )
 
 

@@ -260,11 +260,10 @@ def _(spark, root):
 
 @query(
     "compact_dtypes",
-    sql("SELECT item_id, CAST(price AS FLOAT) AS price FROM items WHERE price IS NOT NULL", "items"),
+    sql("SELECT item_id, CAST(price AS FLOAT) AS price FROM items", "items"),
 )
 def _(spark, root):
-    kept = adapters.items(spark, root).where(F.col("price").isNotNull())
-    return cleaning.compact_dtypes(kept.select("item_id", "price"))
+    return cleaning.compact_dtypes(adapters.items(spark, root).select("item_id", "price"))
 
 
 @query(
@@ -305,14 +304,14 @@ def _(spark, root):
 @query(
     "binary_label",
     sql(
-        "SELECT event_id, CASE WHEN action_type = 'view' THEN 0 ELSE 1 END AS label "
-        "FROM interactions WHERE action_type IS NOT NULL",
+        "SELECT event_id, CASE WHEN action_type = 'view' THEN 0 WHEN action_type IS NOT NULL "
+        "THEN 1 END AS label FROM interactions",
         "interactions",
     ),
 )
 def _(spark, root):
     labelled = cleaning.binary_label(adapters.interactions(spark, root), BINARY_LABELS)
-    return labelled.where(F.col("label").isNotNull()).select("event_id", "label")
+    return labelled.select("event_id", "label")
 
 
 @query(
@@ -542,17 +541,17 @@ def _(spark, root):
 @query(
     "acted_without_view",
     sql(
-        "SELECT DISTINCT user_id FROM recent WHERE action_type IN ('click', 'clickout', 'like') "
-        "EXCEPT SELECT user_id FROM recent WHERE action_type = 'view'",
+        "SELECT DISTINCT visit AS user_id FROM visits WHERE action_type IN "
+        "('click', 'clickout', 'like') EXCEPT SELECT visit FROM visits WHERE action_type = 'view'",
         "interactions",
-        extra={
-            "recent": "SELECT * FROM interactions WHERE day > (SELECT max(day) - 3 FROM interactions)"
-        },
+        extra={"visits": "SELECT user_id * 100000 + day AS visit, action_type FROM interactions"},
     ),
 )
 def _(spark, root):
-    recent = events.last_n_days(adapters.interactions(spark, root), 3)
-    return setops.acted_without_view(recent)
+    # Every user on every day counts as a user of its own.
+    seen = adapters.interactions(spark, root)
+    visit = (F.col("user_id") * 100_000 + F.col("day")).cast("bigint")
+    return setops.acted_without_view(seen.withColumn("user_id", visit))
 
 
 @query(

@@ -96,26 +96,34 @@ def _(spark, root):
     return counters.pivot_counts(long, LONG_NAMES)
 
 
+DIMENSIONS = ("os", "subdomain", "action_type", "category")
+
+
 @query(
     "nunique_by",
     sql(
-        "SELECT os, subdomain, users, items FROM (SELECT os, subdomain, "
-        "count(DISTINCT user_id) AS users, count(DISTINCT item_id) AS items "
-        "FROM interactions_wide GROUP BY GROUPING SETS ((os), (subdomain)))",
+        " UNION ALL ".join(
+            f"SELECT '{d}' AS dim, {d} AS value, count(DISTINCT user_id) AS users, "
+            f"count(DISTINCT w.item_id) AS items FROM interactions_wide w LEFT JOIN items USING (item_id) "
+            "GROUP BY 2"
+            for d in DIMENSIONS
+        ),
         "interactions_wide",
+        "items",
     ),
 )
 def _(spark, root):
-    wide = adapters.interactions_wide(spark, root)
-    frames = []
-    for dim in ("os", "subdomain"):
+    goods = adapters.items(spark, root).select("item_id", "category")
+    wide = adapters.interactions_wide(spark, root).join(goods, "item_id", "left")
+    out = None
+    for dim in DIMENSIONS:
         users = counters.nunique_by(wide, dim, "user_id", name="users")
         items = counters.nunique_by(wide, dim, "item_id", name="items")
-        same = users[dim].eqNullSafe(items[dim])
-        joined = users.join(items, same).select(users[dim].alias(dim), "users", "items")
-        other = "subdomain" if dim == "os" else "os"
-        frames.append(joined.withColumn(other, F.lit(None).cast("string")))
-    return frames[0].unionByName(frames[1]).select("os", "subdomain", "users", "items")
+        part = users.join(items, users[dim].eqNullSafe(items[dim])).select(
+            F.lit(dim).alias("dim"), users[dim].alias("value"), "users", "items"
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query(
@@ -635,16 +643,14 @@ def _(spark, root):
 @query(
     "all_interactions",
     sql(
-        "SELECT user_id, CAST((fwd - 1) // 40 AS BIGINT) AS part, "
-        "string_agg(item_id, ',' ORDER BY fwd) AS item_id FROM (SELECT *, row_number() OVER "
-        "(PARTITION BY user_id ORDER BY ts, event_id) AS fwd FROM targeted) GROUP BY 1, 2",
+        "SELECT user_id, string_agg(item_id, ',' ORDER BY ts, event_id) AS item_id "
+        "FROM targeted GROUP BY 1",
         "targeted",
     ),
 )
 def _(spark, root):
     seen = adapters.interactions(spark, root)
-    listed = ranking.last_k_interactions(seen, None, chunk=40)
-    return tidy(listed.select("user_id", "part", "item_id"))
+    return tidy(ranking.last_k_interactions(seen, None).select("user_id", "item_id"))
 
 
 SEQUENCES = {
@@ -772,14 +778,15 @@ def _(spark, root):
 
 @query(
     "duplicate_rows",
-    "SELECT CAST(sum(n - 1) AS BIGINT) AS duplicates FROM (SELECT count(*) AS n FROM lineitem "
-    "GROUP BY l_quantity, l_discount, l_tax, l_returnflag)",
+    sql(
+        "SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicates FROM (SELECT count(*) AS n FROM "
+        "interactions GROUP BY user_id, item_id, action_type, subdomain, os, day)",
+        "interactions",
+    ),
 )
 def _(spark, root):
-    lines = adapters.table(spark, root, "lineitem")
-    return profiling.duplicate_rows(
-        lines.select("l_quantity", "l_discount", "l_tax", "l_returnflag")
-    )
+    # Every column but the event's id and second of its time, which no two events share.
+    return profiling.duplicate_rows(adapters.interactions(spark, root).drop("event_id", "ts"))
 
 
 @query(

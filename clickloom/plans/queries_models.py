@@ -9,7 +9,7 @@ from clickloom.operators.models import als, ease, gbt, multvae, popularity, svd
 from clickloom.plans import experiments
 from clickloom.plans.queries_data import COUNTS, action_factors
 from clickloom.plans.queries_mart import priced_pairs
-from clickloom.plans.registry import query, sql, tidy
+from clickloom.plans.registry import VIEWS, query, sql, tidy
 from clickloom.session import materialize
 from clickloom.sources import adapters
 
@@ -199,7 +199,7 @@ def _(spark, root):
     # The path for catalogues that are too big to broadcast.
     users, items = action_factors(spark, root)
     seen = adapters.interactions(spark, root)
-    return scoring.recommend_top_k(users, items, K, seen=seen, max_broadcast_bytes=0, block=32)
+    return scoring.recommend_top_k(users, items, K, seen=seen, block=32)
 
 
 @query("autoencoder_scores")
@@ -285,6 +285,43 @@ def _(spark, root):
     return tidy(metrics.ndcg_at_k(evaluation_lists(spark, root), k=K))
 
 
+# One user holds a third of all events.
+HOT_USER = {
+    "plain": VIEWS["interactions"],
+    "interactions": "SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id) "
+    "FROM plain",
+    **{name: VIEWS[name] for name in ("targeted", "train", "test", "truth", "pop", "preds")},
+}
+
+
+@query(
+    "ndcg_hot_user",
+    sql(
+        "SELECT user_id, round(coalesce(dcg / nullif(idcg, 0), 0), 6) AS ndcg, hits, n AS truth FROM dcg "
+        "LEFT JOIN idcg USING (user_id) JOIN (SELECT user_id, count(t.item_id) AS hits FROM preds p "
+        "LEFT JOIN truth t USING (user_id, item_id) GROUP BY 1) USING (user_id) "
+        "JOIN (SELECT user_id, CAST(sum(n) AS BIGINT) AS n FROM truth GROUP BY 1) USING (user_id)",
+        extra={**HOT_USER, **DCG},
+    ),
+)
+def _(spark, root):
+    seen = adapters.interactions(spark, root)
+    hot = F.when(F.col("event_id") % 3 == 0, F.lit(0).cast("bigint")).otherwise(F.col("user_id"))
+    train, test = splits.global_temporal_split(
+        targets.create_target(seen.withColumn("user_id", hot)), 5
+    )
+    train, test = materialize(train, "train"), materialize(test, "test")
+    recs = ranking.top_k_per_user(popularity.popular_items(train, K, users=test), K)
+    lists = histories.truth_lists(test, "target").join(recs, "user_id")
+    judged = metrics.ndcg_at_k(lists, k=K).join(lists, "user_id")
+    hits = F.size(F.array_intersect("predicted_items", "true_items")).cast("bigint")
+    return tidy(
+        judged.select(
+            "user_id", "ndcg", hits.alias("hits"), F.size("true_items").cast("bigint").alias("truth")
+        )
+    )
+
+
 @query(
     "ndcg_predicted_ideal",
     sql(

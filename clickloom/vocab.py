@@ -47,6 +47,17 @@ FEATURE_GROUPS = [
     ("socdem_cluster", "category"),
 ]
 
+# Kinds of scalar target, and the columns of the multiclass one.
+SCALAR_KINDS = ("log_target", "sqrt_target", "unproccessed")
+MULTICLASS_COLUMNS = ["target_view", "target_clickout", "target_like", "target_click"]
+
+# Event attributes of a training row.
+ATTRIBUTES = ["category", "subcategory", "brand_id", "os", "subdomain", "action_type"]
+
+# Features of the tree ranker.
+NUMERIC = ["price_mean", "price_mean_item", "user_hist_len", "user_mean_target", "item_popularity", "last_day"]
+CATEGORICAL = ["item_id", "category", "subcategory", "brand_id", "os", "subdomain"]
+
 # Fixed value: microseconds in one day.
 DAY_US = 86_400_000_000
 

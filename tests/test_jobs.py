@@ -175,14 +175,13 @@ def test_dataset_uses_the_day_before(spark):
     }
 
 
-def test_last_k_and_chunks(spark):
+def test_last_k_and_all(spark):
     df = spark.createDataFrame(
         [(n, "u", n, 1, n, "view") for n in range(5)] + [(9, "u", 9, 1, 9, "other")],
         "event_id int, user_id string, item_id int, day int, ts int, action_type string",
     )
     assert ranking.last_k_interactions(df, 3).first()["item_id"] == [2, 3, 4]
-    parts = ranking.last_k_interactions(df, None, chunk=2).orderBy("part").collect()
-    assert [r["item_id"] for r in parts] == [[0, 1], [2, 3], [4]]
+    assert [r["item_id"] for r in ranking.last_k_interactions(df, None).collect()] == [[0, 1, 2, 3, 4]]
 
 
 def test_sequences(spark):
@@ -198,14 +197,12 @@ def test_sequences(spark):
     assert padded["attention_mask"] == [1] * 3 + [0] * 27
 
 
-def test_truth_lists_split_hot_users(spark):
+def test_truth_lists_of_hot_users(spark):
     df = spark.createDataFrame(
         [("u", n, 1.0) for n in range(50)] + [("v", 1, 1.0)], "user_id string, item_id int, t double"
     )
-    made = histories.truth_lists(df, "t", chunk=10).collect()
-    hot = [r["true_items"] for r in made if r["user_id"] == "u"]
-    assert len(hot) > 1 and sorted(i for part in hot for i in part) == list(range(50))
-    assert len(histories.truth_lists(df, "t").collect()) == 2
+    made = {r["user_id"]: r["true_items"] for r in histories.truth_lists(df, "t").collect()}
+    assert made == {"u": list(range(50)), "v": [1]}
 
 
 def test_position_within_hot_group(spark):

@@ -84,7 +84,7 @@ def test_blocked_and_broadcast_scoring_agree(spark):
         return sorted((r["user_id"], r["item_id"], round(r["score"], 9)) for r in df.collect())
 
     one = scoring.recommend_top_k(users, items, 5, seen)
-    two = scoring.recommend_top_k(users, items, 5, seen, max_broadcast_bytes=0, block=7)
+    two = scoring.recommend_top_k(users, items, 5, seen, block=7)
     assert key(one) == key(two) and one.count() == 150
 
 
