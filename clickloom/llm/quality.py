@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.llm.linear import Linear, fit_in_one_task, fit_logistic
+from clickloom.session import materialize
 
 BAD, GOOD, SILENT = 0, 1, 2
 BITS = 16
@@ -147,15 +148,27 @@ def features(text: str | None, shapes: Shapes, bits: int = BITS) -> tuple[np.nda
     return index, np.sqrt(count / len(words))
 
 
-def posteriors(docs: DataFrame, text_col: str = "text") -> tuple[dict[int, float], dict]:
-    """Posterior of good per vote pattern, and the label model, from counts over all rows."""
+def vote_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(hash, pattern) of every row, written once: the votes are cast in one pass."""
 
     @F.pandas_udf(T.IntegerType())
     def pattern(texts: pd.Series) -> pd.Series:
-        return texts.map(votes, na_action=None).astype("int32")
+        return pd.Series([votes(t) for t in texts], dtype="int32")
+
+    text = F.col(text_col).cast("string")
+    return materialize(
+        docs.select(_row_hash(id_col, text).alias("hash"), pattern(text).alias("pattern")), "votes"
+    )
 
-    rows = docs.select(pattern(F.col(text_col).cast("string")).alias("p")).groupBy("p").count()
-    found = sorted((r["p"], r["count"]) for r in rows.collect())  # at most 3**8 rows
+
+def _row_hash(id_col: str, text):
+    return F.xxhash64(F.col(id_col), text)
+
+
+def posteriors(marks: DataFrame) -> tuple[dict[int, float], dict]:
+    """Posterior of good per vote pattern, and the label model, from counts over all rows."""
+    rows = marks.groupBy("pattern").count()
+    found = sorted((r["pattern"], r["count"]) for r in rows.collect())  # at most 3**8 rows
     if not found:
         return {}, {}
     patterns, counts = np.array([p for p, _ in found]), np.array([float(c) for _, c in found])
@@ -185,30 +198,36 @@ def train(
     bits: int = BITS,
 ) -> Linear:
     """Label model over all rows, then the scorer on a bounded number of them."""
-    posterior, _ = posteriors(docs, text_col)
-    text = F.col(text_col).cast("string")
+    spark = docs.sparkSession
+    marks = vote_table(docs, id_col, text_col)
+    posterior, _ = posteriors(marks)
+    if not posterior:
+        return Linear(np.zeros(1 << bits, np.float32), 0.0)
+    table = spark.createDataFrame(list(posterior.items()), "pattern int, target double")
+    judged = marks.join(F.broadcast(table), "pattern").select("hash", "target").distinct()
+    sides = [
+        judged.where(side).orderBy("hash").limit(per_class)
+        for side in (F.col("target") >= 0.5, F.col("target") < 0.5)
+    ]
+    chosen = sides[0].unionByName(sides[1])  # at most 2 * per_class rows
 
-    @F.pandas_udf("target double, index binary, value binary")
+    @F.pandas_udf("index binary, value binary")
     def example(texts: pd.Series) -> pd.DataFrame:
         shapes, out = Shapes(), []
         for t in texts:
             index, value = features(t, shapes, bits)
-            out.append((posterior[votes(t)], index.tobytes(), value.tobytes()))
-        return pd.DataFrame(out, columns=["target", "index", "value"])
-
-    @F.pandas_udf(T.DoubleType())
-    def target(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: posterior[votes(t)], na_action=None).astype(float)
+            out.append((index.tobytes(), value.tobytes()))
+        return pd.DataFrame(out, columns=["index", "value"])
 
-    rows = docs.select(
-        F.xxhash64(F.col(id_col), text).alias("hash"), text.alias("text"), target(text).alias("good")
+    text = F.col(text_col).cast("string")
+    rows = (
+        docs.select(_row_hash(id_col, text).alias("hash"), text.alias("text"))
+        .join(F.broadcast(chosen), "hash")
+        .groupBy("hash")  # repeated rows count once
+        .agg(F.first("text").alias("text"), F.first("target").alias("target"))
+        .select("hash", "target", example("text").alias("e"))
     )
-    sides = [
-        rows.where(side).orderBy("hash").limit(per_class).select("hash", example("text").alias("e"))
-        for side in (F.col("good") >= 0.5, F.col("good") < 0.5)
-    ]
-    model = fit_in_one_task(sides[0].unionByName(sides[1]).select("hash", "e.*"), _fit(bits))
-    return model if len(model.weight) else Linear(np.zeros(1 << bits, np.float32), 0.0)
+    return fit_in_one_task(rows.select("hash", "target", "e.*"), _fit(bits))
 
 
 def score(
