@@ -19,19 +19,18 @@ import regex
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PRINTABLE = [(33, 126), (161, 172), (174, 255)]
 
-PIECES = 400_000  # distinct pieces kept at a time; beyond that the table starts anew
+PIECES = 1_000_000  # distinct pieces kept at a time; beyond that the table starts anew
 SLICE = 1 << 20  # pieces looked up at a time, which bounds memory on very long texts
 
 _PROBE = "It's  a\tprobe: 12 cafés,\n\n  日本 \U0001f600!! don't  x <|endoftext|>  "
 
 
-def _byte_signs() -> list[str]:
-    signs, spare = [], 256
+def _byte_signs() -> dict[int, int]:
+    """The printable sign that stands for each byte, as a table for str.translate."""
+    signs, spare = {}, 256
     for byte in range(256):
-        if any(low <= byte <= high for low, high in PRINTABLE):
-            signs.append(chr(byte))
-        else:
-            signs.append(chr(spare))
+        if not any(low <= byte <= high for low, high in PRINTABLE):
+            signs[byte] = spare
             spare += 1
     return signs
 
@@ -56,11 +55,11 @@ class _Growing:
 
 
 class _Pieces(dict):
-    """Piece -> row number in flat tables of ids and character spans."""
+    """Piece -> row number in flat tables of ids and, if asked for, character spans."""
 
-    def __init__(self, model):
+    def __init__(self, model, spans: bool):
         super().__init__()
-        self.model, self.signs = model, _byte_signs()
+        self.model, self.spans, self.signs = model, spans, _byte_signs()
         self.clear()
 
     def clear(self):
@@ -70,11 +69,16 @@ class _Pieces(dict):
 
     def __missing__(self, piece: str) -> int:
         raw = piece.encode()
-        tokens = self.model.tokenize("".join([self.signs[b] for b in raw]))
+        tokens = self.model.tokenize(raw.decode("latin-1").translate(self.signs))
         row = self[piece] = len(self.first)
         self.first.new.append(len(self.ids))
         self.count.new.append(len(tokens))
         self.ids.new += [t.id for t in tokens]
+        if self.spans:
+            self._add_spans(piece, raw, tokens)
+        return row
+
+    def _add_spans(self, piece: str, raw: bytes, tokens) -> None:
         # A sign of a token's value is one byte; a character belongs to every token with one of its bytes.
         char_of = range(len(raw))
         if len(raw) > len(piece):
@@ -85,7 +89,6 @@ class _Pieces(dict):
             self.begin.new.append(char_of[at])
             self.end.new.append(char_of[to - 1] + 1)
             at = to
-        return row
 
     def arrays(self):
         return tuple(x.array() for x in (self.first, self.count, self.ids, self.begin, self.end))
@@ -94,7 +97,7 @@ class _Pieces(dict):
 class TextEncoder:
     """Encodes whole texts with the tokenizer file at `path`, without special tokens."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, spans: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -103,10 +106,12 @@ class TextEncoder:
         self.pattern = regex.compile(SPLIT)
         self.pieces = None
         if self._byte_level(path):
-            self.pieces = _Pieces(self.tokenizer.model)
-            ids, spans = self.encode(_PROBE)
+            self.pieces = _Pieces(self.tokenizer.model, spans)
             whole = self.tokenizer.encode(_PROBE, add_special_tokens=False)
-            if ids.tolist() != whole.ids or [tuple(s) for s in spans.tolist()] != whole.offsets:
+            same = self.ids(_PROBE).tolist() == whole.ids
+            if spans:
+                same &= [tuple(s) for s in self.encode(_PROBE)[1].tolist()] == whole.offsets
+            if not same:
                 self.pieces = None
 
     @staticmethod
@@ -161,7 +166,7 @@ class TextEncoder:
         return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Token ids of a whole text and the (begin, end) characters of each token."""
+        """Token ids of a whole text and the (begin, end) characters of each token. Needs `spans`."""
         if not text:
             return np.zeros(0, np.uint32), np.zeros((0, 2), np.int64)
         if self.pieces is None:
@@ -180,11 +185,11 @@ class TextEncoder:
         return np.concatenate(ids_of), np.concatenate(spans)
 
 
-_loaded: dict[str, TextEncoder] = {}
+_loaded: dict[tuple[str, bool], TextEncoder] = {}
 
 
-def encoder(path: str) -> TextEncoder:
+def encoder(path: str, spans: bool = False) -> TextEncoder:
     """The encoder of a tokenizer file, loaded once per Python worker."""
-    if path not in _loaded:
-        _loaded[path] = TextEncoder(path)
-    return _loaded[path]
+    if (path, spans) not in _loaded:
+        _loaded[path, spans] = TextEncoder(path, spans)
+    return _loaded[path, spans]

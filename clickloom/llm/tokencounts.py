@@ -81,7 +81,7 @@ def count_tokens(
     fields = list(fields)
 
     def count(batches):
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, spans=True).encode
         for batch in batches:
             out: list[tuple] = []
             keys = batch.column(0).to_pylist()
