@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from clickloom.operators import assemble, histories, metrics, ranking, requestlog, scoring, splits, targets
 from clickloom.operators.models import als, ease, gbt, multvae, popularity, svd
 from clickloom.plans import experiments
 from clickloom.plans.queries_data import COUNTS, action_factors
-from clickloom.plans.queries_mart import priced_pairs
+from clickloom.plans.queries_mart import PRICED, priced_pairs
 from clickloom.plans.registry import VIEWS, query, sql, tidy
 from clickloom.session import materialize
 from clickloom.sources import adapters
@@ -59,34 +60,178 @@ def _(spark, root):
     return popularity.item_popularity(adapters.interactions_wide(spark, root), "users")
 
 
-@query("implicit_als")
+def list_facts(recs, seen=None):
+    """What must hold of every user's list: its length, no repeats, nothing seen, finite scores."""
+    if seen is not None:
+        pairs = seen.select("user_id", "item_id").distinct().withColumn("_seen", F.lit(1))
+        recs = recs.join(pairs, ["user_id", "item_id"], "left")
+    else:
+        recs = recs.withColumn("_seen", F.lit(None).cast("int"))
+    finite = F.col("score").isNotNull() & ~F.isnan(F.col("score").cast("double"))
+    return recs.groupBy("user_id").agg(
+        F.count("*").alias("n"),
+        F.count_distinct("item_id").alias("items"),
+        F.count("_seen").alias("seen"),
+        F.min(finite & (F.abs("score") < float("inf"))).alias("finite"),
+    )
+
+
+def facts_sql(asked: str, known: str, seen: str | None, *views: str, extra=None) -> str:
+    """Lists of `asked` users hold K items of `known`, or all they have not seen if fewer."""
+    left = f"(SELECT count(*) FROM ({known}))"
+    if seen:
+        left += f" - (SELECT count(*) FROM ({seen}) s WHERE s.user_id = a.user_id)"
+    return sql(
+        f"SELECT user_id, n, n AS items, CAST(0 AS BIGINT) AS seen, true AS finite FROM (SELECT "
+        f"user_id, least({K}, {left}) AS n FROM ({asked}) a) WHERE n > 0",
+        *views,
+        extra=extra,
+    )
+
+
+# The wide events split 400 days before the end, and pairs whose user and item occur in 3 pairs.
+WIDE = {
+    "wide_train": "SELECT * FROM interactions_wide WHERE day < (SELECT max(day) - 400 FROM "
+    "interactions_wide)",
+    "wide_test": "SELECT * FROM interactions_wide WHERE day > (SELECT max(day) - 400 FROM "
+    "interactions_wide)",
+}
+
+
+def _frequent(source: str, n: int) -> str:
+    return (
+        f"SELECT * FROM (SELECT DISTINCT user_id, item_id FROM {source}) p WHERE user_id IN (SELECT "
+        f"user_id FROM (SELECT DISTINCT user_id, item_id FROM {source}) GROUP BY 1 HAVING count(*) >= {n}) "
+        f"AND item_id IN (SELECT item_id FROM (SELECT DISTINCT user_id, item_id FROM {source}) GROUP BY 1 "
+        f"HAVING count(*) >= {n})"
+    )
+
+
+@query(
+    "implicit_als",
+    facts_sql(
+        "SELECT DISTINCT user_id FROM often WHERE user_id IN (SELECT user_id FROM wide_test)",
+        "SELECT DISTINCT item_id FROM often",
+        "FROM often",
+        "interactions_wide",
+        extra={**WIDE, "often": _frequent("wide_train", 3)},
+    ),
+)
 def _(spark, root):
     train, test = split(spark, root, 400, wide=True)
-    model = als.fit_als(train, "target", factors=16, iterations=8, min_n=3)
+    model = als.fit_als(train, "target", factors=64, iterations=15, min_n=3)
     asked = model.users.join(test.select("user_id").distinct(), "user_id", "left_semi")
-    return tidy(scoring.recommend_top_k(asked, model.items, K, seen=model.pairs), 4)
+    recs = scoring.recommend_top_k(asked, model.items, K, seen=model.pairs)
+    return list_facts(recs, model.pairs)
 
 
-@query("truncated_svd")
+@query(
+    "truncated_svd",
+    sql(
+        "SELECT i AS component, energy, true AS unit, true AS orthogonal, true AS matches, true AS bounded "
+        "FROM range(1, 6) t(i), (SELECT round(sum(v * v), 3) AS energy FROM (SELECT sum(ln(1 + w.total / c.len)) "
+        "AS v FROM wide_train e JOIN (SELECT action_type, CAST(count(*) AS DOUBLE) AS len FROM "
+        "interactions_wide GROUP BY 1) c USING (action_type) CROSS JOIN (SELECT CAST(count(*) AS DOUBLE) "
+        "AS total FROM interactions_wide) w GROUP BY user_id, item_id))",
+        "interactions_wide",
+        extra=WIDE,
+    ),
+)
 def _(spark, root):
+    """Per component: V_i has length 1 and is orthogonal to the others, |U_i S_i| is its singular
+    value (in falling order), and the captured energy stays below that of the matrix."""
     train, _test = split(spark, root, 400, wide=True)
     pairs = train.select("user_id", "item_id", F.col("target").alias("value"))
-    _users, _items, sigma = svd.truncated_svd(pairs, 5, steps=10, oversample=8)
+    users, items, sigma = svd.truncated_svd(pairs, 5, steps=10, oversample=8)
     entries = pairs.groupBy("user_id", "item_id").agg(F.sum("value").alias("v"))
-    # Singular values next to the squared norm of the matrix they must stay below.
-    listed = F.explode(F.array(*[F.lit(round(s, 3)) for s in sigma])).alias("sigma")
-    return entries.agg(F.round(F.sum(F.col("v") * F.col("v")), 3).alias("energy")).select(
-        "energy", listed
-    )
+    energy = entries.agg(F.round(F.sum(F.col("v") * F.col("v")), 3).alias("energy"))
+    rows = None
+    for i, value in enumerate(sigma):
+        own = [F.element_at("features", i + 1), *(F.element_at("features", j + 1) for j in range(i))]
+        dots = [F.sum(own[0] * other) for other in own]
+        off = F.greatest(F.lit(0.0), F.lit(0.0), *(F.abs(d) for d in dots[1:]))
+        good = items.agg(
+            (F.abs(dots[0] - 1) < 1e-6).alias("unit"), (off < 1e-6).alias("orthogonal")
+        )
+        found = users.agg(
+            (F.abs(F.sqrt(F.sum(own[0] * own[0])) - value) < 1e-6 * value).alias("matches")
+        )
+        falling = value <= (sigma[i - 1] if i else value)
+        part = (
+            energy.crossJoin(good)
+            .crossJoin(found)
+            .select(
+                F.lit(i + 1).cast("bigint").alias("component"),
+                "energy",
+                "unit",
+                "orthogonal",
+                "matches",
+                (F.lit(falling) & (F.col("energy") >= sum(v * v for v in sigma))).alias("bounded"),
+            )
+        )
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
 
 
-@query("ease")
+@query(
+    "ease",
+    facts_sql(
+        "SELECT DISTINCT user_id FROM train WHERE user_id IN (SELECT user_id FROM test)",
+        "SELECT DISTINCT item_id FROM train",
+        "SELECT DISTINCT user_id, item_id FROM train",
+        "train",
+        "test",
+    ),
+)
 def _(spark, root):
     train, test = split(spark, root)
-    return tidy(ease.recommend_ease(ease.fit_ease(train, 300.0), K, users=test), 4)
+    recs = ease.recommend_ease(ease.fit_ease(train, 300.0), K, users=test)
+    return list_facts(recs, train)
 
 
-@query("multvae")
+@query(
+    "ease_weights",
+    sql(
+        "SELECT item_id, 0.0::DOUBLE AS diagonal, true AS solves FROM train GROUP BY 1",
+        "train",
+    ),
+)
+def _(spark, root):
+    """Column j of (X'X + reg I)(I - B) is 0 but at j: B solves its normal equations."""
+    train, _test = split(spark, root)
+    model = ease.fit_ease(train, 300.0)
+    weights = model.weights.join(model.items, "item_idx")
+    own = F.element_at("weights", (F.col("item_idx") + 1).cast("int"))
+    # X (I - B) for every user and item, then X' of that, both as plain joins.
+    listed = model.histories.select("user_id", F.explode(F.arrays_zip("item_idx", "weight")).alias("h"))
+    entries = listed.select("user_id", F.col("h.item_idx").alias("i"), F.col("h.weight").alias("x"))
+    columns = weights.select(
+        F.col("item_idx").alias("j"), F.posexplode("weights").alias("i", "b")
+    ).withColumn("b", (F.col("i") == F.col("j")).cast("double") - F.col("b"))
+    left = (
+        entries.join(columns, "i").groupBy("user_id", "j").agg(F.sum(F.col("x") * F.col("b")).alias("y"))
+    )
+    normal = (
+        entries.join(left, "user_id").groupBy("i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("g"))
+    )
+    rest = normal.join(columns, ["i", "j"]).where("i <> j").groupBy("j").agg(
+        F.max(F.abs(F.col("g") + 300.0 * F.col("b"))).alias("rest")
+    )
+    return weights.join(rest, weights["item_idx"] == rest["j"]).select(
+        "item_id", own.alias("diagonal"), (F.col("rest") < 1e-6).alias("solves")
+    )
+
+
+@query(
+    "multvae",
+    facts_sql(
+        "SELECT DISTINCT user_id FROM often",
+        "SELECT DISTINCT item_id FROM often",
+        None,
+        "train",
+        extra={"often": _frequent("train", 5)},
+    ),
+)
 def _(spark, root):
     train, _test = split(spark, root)
     made = materialize(histories.history_from_events(train, "target", min_n=5), "histories")
@@ -98,10 +243,21 @@ def _(spark, root):
     model = multvae.fit_multvae(
         made, items.count(), (64, 16), epochs=4, batch_size=64, total_anneal_steps=200
     )
-    return tidy(multvae.recommend_multvae(model, made, items, K, filter_seen=False), 3)
+    return list_facts(multvae.recommend_multvae(model, made, items, K, filter_seen=False))
 
 
-@query("boosted_tree_ranker")
+@query(
+    "boosted_tree_ranker",
+    facts_sql(
+        "SELECT DISTINCT user_id FROM ui WHERE last_day >= (SELECT max(last_day) - greatest(floor("
+        "(max(last_day) - min(last_day) + 1) * 0.1::DOUBLE), 1) + 1 FROM ui)",
+        "SELECT item_id FROM ui GROUP BY 1 ORDER BY count(*) DESC, item_id LIMIT 50",
+        None,
+        "targeted",
+        "items",
+        extra=PRICED,
+    ),
+)
 def _(spark, root):
     pairs = materialize(priced_pairs(spark, root), "pairs")
     fit_part, valid_part = splits.validation_split(pairs)
@@ -114,42 +270,107 @@ def _(spark, root):
         rate=0.1,
     )
     made = assemble.candidates(valid_part, pairs, people, goods, 50)
-    return tidy(gbt.rank_candidates(model, made, K), 4)
+    return list_facts(gbt.rank_candidates(model, made, K))
 
 
-@query("run_trials")
+@query(
+    "run_trials",
+    "SELECT CAST(i AS BIGINT) AS place, 'ease' AS model, true AS ranked, true AS in_range "
+    "FROM range(1, 4) t(i)",
+)
 def _(spark, root):
     train, test = split(spark, root)
     train, test = materialize(train, "train"), materialize(test, "test")
-    _best, table = experiments.run_trials(
+    best, table = experiments.run_trials(
         {"reg": (10.0, 1000.0)},
         3,
         lambda p: experiments.run_experiment("ease", train, test, "target", K, **p),
     )
-    return tidy(table)
+    rows = table.collect()  # one row per trial
+    scores = [r["ndcg"] for r in rows]
+    ranked = scores == sorted(scores, reverse=True) and rows[0]["params"] == f"reg={best['reg']}"
+    place = F.row_number().over(Window.orderBy(F.desc("ndcg"), "trial")).cast("bigint")
+    return table.select(
+        place.alias("place"),
+        "model",
+        F.lit(ranked).alias("ranked"),
+        F.col("ndcg").between(0, 1).alias("in_range"),
+    )
+
 
+EXPERIMENT = (
+    "SELECT '{0}' AS model, 'target' AS target, 15 AS top_k, true AS in_range, {1} AS judged, "
+    "true AS beats_nothing"
+)
+
+
+def experiment_facts(row, errors=True):
+    """Metrics within their ranges; with errors, the root mean square is no less than the mean."""
+    shares = F.greatest("ndcg", "precision", "recall") <= 1
+    some = F.least("ndcg", "precision", "recall") >= 0
+    judged = F.col("rmse") >= F.col("mae") if errors else F.col("rmse").isNull() & F.col("mae").isNull()
+    return row.select(
+        "model",
+        "target",
+        "top_k",
+        (shares & some).alias("in_range"),
+        judged.alias("judged"),
+        (F.col("ndcg") > 0).alias("beats_nothing"),
+    )
 
-@query("run_experiment_als")
+
+@query("run_experiment_als", EXPERIMENT.format("als", "true"))
 def _(spark, root):
     train, test = split(spark, root)
-    return tidy(
-        experiments.run_experiment("als", train, test, factors=16, iterations=8, min_n=5), 3
+    return experiment_facts(
+        experiments.run_experiment("als", train, test, factors=16, iterations=8, min_n=5)
     )
 
 
-@query("run_experiment_svd")
+@query("run_experiment_svd", EXPERIMENT.format("svd", "true"))
 def _(spark, root):
     train, test = split(spark, root)
-    return tidy(experiments.run_experiment("svd", train, test, k=8, steps=4), 4)
+    return experiment_facts(experiments.run_experiment("svd", train, test, steps=16))
 
 
-@query("run_experiment_multvae")
+@query("run_experiment_multvae", EXPERIMENT.format("multvae", "true"))
 def _(spark, root):
     train, test = split(spark, root)
     made = experiments.run_experiment(
         "multvae", train, test, dims=(32, 8), epochs=2, batch_size=64, min_n=5
     )
-    return tidy(made, 3)
+    return experiment_facts(made)
+
+
+@query("run_experiment_ease", EXPERIMENT.format("ease", "true"))
+def _(spark, root):
+    train, test = split(spark, root)
+    return experiment_facts(experiments.run_experiment("ease", train, test), errors=False)
+
+
+@query(
+    "run_experiment_popularity",
+    sql(
+        "SELECT 'popularity' AS model, 'target' AS target, 15 AS top_k, round(avg(ndcg), 6) AS ndcg, "
+        "round(avg(hits / 15), 6) AS precision, round(avg(hits / n), 6) AS recall FROM (SELECT user_id, "
+        "coalesce(dcg / nullif(idcg, 0), 0) AS ndcg FROM dcg LEFT JOIN idcg USING (user_id)) JOIN "
+        "(SELECT user_id, count(t.item_id) AS hits FROM preds p LEFT JOIN truth t USING (user_id, item_id) "
+        "GROUP BY 1) USING (user_id) JOIN (SELECT user_id, sum(n) AS n FROM truth GROUP BY 1) USING (user_id)",
+        "preds",
+        "truth",
+        extra={
+            "dcg": "SELECT p.user_id, sum(coalesce(t.rel, 0) / log2(p.pos + 2)) AS dcg FROM preds p "
+            "LEFT JOIN truth t USING (user_id, item_id) GROUP BY 1",
+            "idcg": "SELECT user_id, sum(rel / log2(rn + 1)) AS idcg FROM (SELECT user_id, rel, "
+            "row_number() OVER (PARTITION BY user_id ORDER BY rel DESC) AS rn FROM truth) "
+            "WHERE rn <= 15 GROUP BY 1",
+        },
+    ),
+)
+def _(spark, root):
+    train, test = split(spark, root)
+    made = experiments.run_experiment("popularity", train, test, k=K)
+    return tidy(made.select("model", "target", "top_k", "ndcg", "precision", "recall"))
 
 
 # --- scoring -------------------------------------------------------------------
