@@ -42,6 +42,15 @@ def log_summary(log: DataFrame) -> DataFrame:
     )
 
 
+def size_summary(log: DataFrame) -> DataFrame:
+    """Average request size and tokens, and the number of models, over the whole log."""
+    return with_request_metrics(log).agg(
+        F.coalesce(F.avg("request_size"), F.lit(0.0)).alias("avg_request_size"),
+        F.coalesce(F.avg("token_count"), F.lit(0.0)).alias("avg_token_count"),
+        F.count_distinct(F.col("model_key")).alias("models"),
+    )
+
+
 def duration_quantiles(log: DataFrame) -> DataFrame:
     """p50, p95 and p99 of the duration at index ``floor(nq)``; empty gives zeros."""
     wanted = {"p50": 0.5, "p95": 0.95, "p99": 0.99}

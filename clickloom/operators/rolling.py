@@ -22,7 +22,7 @@ from clickloom.functions.columns import feature_name
 from clickloom.operators.cleaning import compact_dtypes
 from clickloom.operators.quantiles import quantiles
 from clickloom.session import cut_lineage, materialize
-from clickloom.vocab import FEATURE_GROUPS, ITEM_KEYS, USER_KEYS, counter_columns
+from clickloom.vocab import FEATURE_GROUPS, ITEM_KEYS, USER_KEYS
 
 
 def check_group(keys: Sequence[str | None]) -> list[str]:
@@ -50,6 +50,11 @@ def enrich_aggs(
     return out
 
 
+def counters_of(aggs: DataFrame) -> list[str]:
+    """The counter columns of a layer, whatever actions and subdomains it was made with."""
+    return [c for c in aggs.columns if c.startswith("num_")]
+
+
 @dataclass(frozen=True)
 class WindowFacts:
     """What every group of one run shares: stored days, price range, counters in use."""
@@ -68,8 +73,9 @@ def window_facts(enriched: DataFrame, counters: Sequence[str]) -> WindowFacts:
     if first is None:
         raise FileNotFoundError("no stored days")
     present = enriched.groupBy("day").agg(
-        *(F.expr(f"coalesce(max({c} > 0), false) AS _has_{c}") for c in counters)
-    )
+        *(F.expr(f"coalesce(max(`{c}` > 0), false) AS `_has_{c}`") for c in counters),
+        F.count("*").alias("_rows"),
+    ).drop("_rows")
     price = None if low is None else (low, high)
     return WindowFacts(first, last, price, cut_lineage(present))
 
@@ -103,7 +109,7 @@ def rolling_features(
     days before ``day_from`` instead of looking back over everything stored.
     """
     keys = check_group(keys)
-    counters = list(counters or counter_columns())
+    counters = counters_of(enriched) if counters is None else list(counters)
     facts = facts or window_facts(enriched, counters)
     first = facts.first if day_from is None else day_from
     last = facts.last if day_to is None else day_to
@@ -117,7 +123,7 @@ def rolling_features(
         partials = rows.select(
             *keys,
             "day",
-            *counters,
+            *(f"`{c}`" for c in counters),
             F.lit(1).cast("long").alias("_n"),
             F.col("price").alias("_ps"),
             priced.alias("_pn"),
@@ -126,7 +132,7 @@ def rolling_features(
         )
     else:
         partials = rows.groupBy(*keys, "day").agg(
-            *(F.expr(f"sum({c}) AS {c}") for c in counters),
+            *(F.expr(f"sum(`{c}`) AS `{c}`") for c in counters),
             F.count("*").alias("_n"),
             F.sum("price").alias("_ps"),
             F.sum(priced).alias("_pn"),
@@ -138,16 +144,16 @@ def rolling_features(
     if absent_day == "null":
         # One row per stored day bounds this broadcast.
         partials = partials.join(F.broadcast(facts.present), "day")
-        counted = {c: f"CASE WHEN _has_{c} THEN _n END" for c in counters}
+        counted = {c: f"CASE WHEN `_has_{c}` THEN _n END" for c in counters}
 
     def name(stat: str) -> str:
         return feature_name(stat, keys, num_days)
 
     means = [
-        F.expr(f"try_divide(sum({c}), sum({counted[c]})) AS `{name(f'mean_{c}')}`")
+        F.expr(f"try_divide(sum(`{c}`), sum({counted[c]})) AS `{name(f'mean_{c}')}`")
         for c in counters
     ]
-    sums = [F.expr(f"sum({c}) AS `{name(f'sum_{c}')}`") for c in counters]
+    sums = [F.expr(f"sum(`{c}`) AS `{name(f'sum_{c}')}`") for c in counters]
     price = [
         F.try_divide(F.sum("_ps"), F.sum("_pn")).alias(name("mean_price")),
         F.min("_lo").alias(name("min_price")),
@@ -166,24 +172,34 @@ def rolling_features(
             .groupBy(*keys, "day", "price")
             .agg(F.count("*").alias("_m"))
         )
-        seen = _fan_out(freq, num_days, first, last, clip_to_range)
-        middle = quantiles(
-            seen.select(*keys, "_snap", "price", "_m"),
-            "price",
-            {median: 0.5},
-            [*keys, "_snap"],
-            "linear",
-            weight="_m",
-            buckets=16 if "user_id" in keys else 256,
-            bounds=facts.price or (0.0, 0.0),
-        )
+        if "user_id" in keys:
+            # Many small groups: frequencies move once, by key; window and exact median follow
+            # in the same partitioning.
+            seen = _fan_out(freq.repartition(*keys), num_days, first, last, clip_to_range)
+            middle = seen.groupBy(*keys, "_snap").agg(
+                F.percentile("price", 0.5, F.col("_m")).alias(median)
+            )
+        else:
+            seen = _fan_out(freq, num_days, first, last, clip_to_range)
+            middle = quantiles(
+                seen.select(*keys, "_snap", "price", "_m"),
+                "price",
+                {median: 0.5},
+                [*keys, "_snap"],
+                "linear",
+                weight="_m",
+                buckets=256,
+                bounds=facts.price or (0.0, 0.0),
+            )
         stats = stats.join(middle, [*keys, "_snap"], "left")
     ordered = [
         *(name(f"mean_{c}") for c in counters),
         *(name(f"{s}_price") for s in ("mean", "median", "min", "max")),
         *(name(f"sum_{c}") for c in counters),
     ]
-    return compact_dtypes(stats.select(*keys, F.col("_snap").alias("day"), *ordered))
+    return compact_dtypes(
+        stats.select(*keys, F.col("_snap").alias("day"), *(f"`{c}`" for c in ordered))
+    )
 
 
 def rolling_price_stats(
@@ -191,7 +207,7 @@ def rolling_price_stats(
 ) -> DataFrame:
     """Only the four price statistics of :func:`rolling_features`."""
     kept = check_group(keys)
-    return rolling_features(enriched, keys, num_days, **kw).select(
+    return rolling_features(enriched, keys, num_days, counters=[], **kw).select(
         *kept,
         "day",
         *(feature_name(f"{s}_price", kept, num_days) for s in ("mean", "median", "min", "max")),
@@ -212,7 +228,8 @@ def build_feature_layer(
     then reads just the columns it needs.
     """
     enriched = materialize(enrich_aggs(aggs, users, items, groups), "enriched")
-    facts = window_facts(enriched, kw.get("counters") or counter_columns())
+    counters = kw.get("counters")
+    facts = window_facts(enriched, counters_of(enriched) if counters is None else counters)
     return {
         tuple(check_group(g)): rolling_features(enriched, g, num_days, facts=facts, **kw)
         for g in groups

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from clickloom.functions.columns import feature_name
 from clickloom.operators import assemble, basis, counters, histories, profiling, ranking, splits, targets
 from clickloom.operators.quantiles import quantile_nearest
 from clickloom.operators.rolling import (
@@ -16,7 +17,7 @@ from clickloom.plans.mart import run_mart
 from clickloom.plans.registry import query, sql, tidy
 from clickloom.session import materialize, scratch_path
 from clickloom.sources import adapters
-from clickloom.vocab import ACTIONS, FEATURE_GROUPS, SUBDOMAINS, counter_columns
+from clickloom.vocab import ACTIONS, FEATURE_GROUPS, SUBDOMAINS
 
 WINDOW = 7
 GROUPS = [("user_id",), ("user_id", "item_id"), ("socdem_cluster", "category")]
@@ -237,6 +238,52 @@ for _group in (("user_id",), ("brand_id",), ("socdem_cluster", "item_id")):
         return _flat(rolling_features(_enriched(spark, root, [group]), group, WINDOW))
 
 
+RETAIL_ACTIONS = ["view", "added-to-cart"]
+RETAIL_PLACES = ["main", "item", "catalog", "search", "cart"]
+
+
+@query(
+    "retail_features",
+    sql(
+        "SELECT r.item_id, CAST(d AS INTEGER) AS day, count(*) FILTER (action = 'added-to-cart') AS carts, "
+        "count(*) FILTER (action = 'view' AND place = 'cart') AS views_in_cart, count(*) FILTER "
+        "(action = 'added-to-cart' AND place = 'main') AS carts_on_main FROM r JOIN (SELECT unnest(range("
+        "min(day), max(day) + 1)) AS d FROM r) ON r.day BETWEEN d - 6 AND d GROUP BY 1, 2",
+        "interactions_wide",
+        extra={
+            "r": "SELECT day, item_id, CASE action_type WHEN 'view' THEN 'view' ELSE 'added-to-cart' END "
+            "AS action, CASE subdomain WHEN 'u2i' THEN 'main' WHEN 'i2i' THEN 'item' WHEN 'other' "
+            "THEN 'cart' ELSE subdomain END AS place FROM interactions_wide"
+        },
+    ),
+)
+def _(spark, root):
+    """Counters and window features of a domain with other actions and places."""
+    place = F.col("subdomain")
+    for old, new in (("u2i", "main"), ("i2i", "item"), ("other", "cart")):
+        place = F.when(F.col("subdomain") == old, new).otherwise(place)
+    action = F.when(F.col("action_type") == "view", "view").otherwise("added-to-cart")
+    seen = adapters.interactions_wide(spark, root).withColumns(
+        {"action_type": action, "subdomain": place}
+    )
+    aggs = materialize(counters.daily_pair_counters(seen, RETAIL_ACTIONS, RETAIL_PLACES), "aggs")
+    group = ("item_id",)
+    layer = build_feature_layer(aggs, None, adapters.items(spark, root), WINDOW, [group])[group]
+    named = {
+        "carts": "added-to-cart_all_subdomains",
+        "views_in_cart": "view_cart",
+        "carts_on_main": "added-to-cart_main",
+    }
+    return layer.select(
+        "item_id",
+        F.col("day").cast("int").alias("day"),
+        *(
+            F.col(f"`{feature_name(f'sum_num_{c}', group, WINDOW)}`").cast("bigint").alias(out)
+            for out, c in named.items()
+        ),
+    )
+
+
 _PRICE = ("region", "subcategory")
 
 

@@ -737,18 +737,44 @@ def _(spark, root):
     return made.select("conv_id", "turn", "token_count")
 
 
+# Item names of one to seven words, as the log's own are single words.
+NAMED = {
+    "named": "SELECT * REPLACE (item_id || repeat(' x', CAST(id % 7 AS INTEGER)) AS item_id) "
+    "FROM request_log",
+}
+TOKENS = "floor((1 + id % 7) * 0.75::DOUBLE) + floor((1 + id % 7) * 0.25::DOUBLE)"
+
+
+def named_log(spark, root):
+    words = F.expr("repeat(' x', cast(id % 7 as int))")
+    return adapters.request_log(spark, root).withColumn("item_id", F.concat("item_id", words))
+
+
 @query(
     "by_model",
     sql(
         "SELECT model_key, count(*) AS request_count, round(avg(duration_ms), 6) AS avg_duration, "
-        f"round(avg({SIZE}), 6) AS avg_request_size, 0.0::DOUBLE AS avg_token_count FROM request_log "
+        f"round(avg({SIZE}), 6) AS avg_request_size, round(avg({TOKENS}), 6) AS avg_token_count FROM named "
         "GROUP BY 1",
         "request_log",
+        extra=NAMED,
+    ),
+)
+def _(spark, root):
+    return tidy(requestlog.by_model(requestlog.with_request_metrics(named_log(spark, root))))
+
+
+@query(
+    "size_summary",
+    sql(
+        f"SELECT round(avg({SIZE}), 6) AS avg_request_size, round(avg({TOKENS}), 6) AS avg_token_count, "
+        "count(DISTINCT model_key) AS models FROM named",
+        "request_log",
+        extra=NAMED,
     ),
 )
 def _(spark, root):
-    log = requestlog.with_request_metrics(adapters.request_log(spark, root))
-    return tidy(requestlog.by_model(log))
+    return tidy(requestlog.size_summary(named_log(spark, root)))
 
 
 @query(
