@@ -10,7 +10,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.numerics import single_thread_blas
 from clickloom.operators.ranking import dense_index
 from clickloom.operators.scoring import score_histories
 from clickloom.session import cut_lineage, materialize
@@ -35,7 +34,6 @@ def _gram(counts: DataFrame, n: int, tasks: int) -> DataFrame:
     """
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        single_thread_blas()
         total = np.zeros((n, n))
 
         def add(rows: pd.DataFrame) -> None:
@@ -93,7 +91,6 @@ def fit_ease(
     shared = sc.broadcast(gram)
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        single_thread_blas()
         for batch in batches:
             cols = batch["item_idx"].to_numpy()
             if not len(cols):

@@ -16,7 +16,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.numerics import single_thread_blas
 from clickloom.operators.scoring import densify, score_histories
 from clickloom.session import materialize
 
@@ -183,7 +182,6 @@ def fit_multvae(
         def train(batches: Iterator[pd.DataFrame], epoch: int = epoch, shared=shared) -> Iterator[pd.DataFrame]:
             from pyspark import TaskContext
 
-            single_thread_blas()
             part = TaskContext.get().partitionId()
             rng = np.random.default_rng([seed, epoch, part])
             start, moments, done = shared.value
@@ -299,7 +297,6 @@ def score_pairs_multvae(
     user_type = histories.schema["user_id"].dataType.simpleString()
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        single_thread_blas()
         for frame in batches:
             for at in range(0, len(frame), 512):
                 part = frame.iloc[at : at + 512]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.operators.ranking import global_position
+from clickloom.session import cut_lineage
 
 
 def item_popularity(
@@ -61,7 +62,10 @@ def popular_items(
     blocked = F.coalesce("_blocked", F.array().cast("array<bigint>"))
     upto = F.least(F.lit(k) + F.size(blocked), total)
     free = F.array_except(F.sequence(F.lit(1).cast("bigint"), upto.cast("bigint")), blocked)
-    picks = people.where(total > 0).select("user_id", F.posexplode(free).alias("pos", "_rank"))
-    return picks.join(ranked, "_rank").select(
+    people = cut_lineage(people.where(total > 0).select("user_id", upto.alias("_upto"), free.alias("_free")))
+    picks = people.select("user_id", F.posexplode("_free").alias("pos", "_rank"))
+    # Only the ranks that somebody reads: k plus the longest list of blocked ones.
+    used = ranked.join(people.agg(F.max("_upto").alias("_last")), F.col("_rank") <= F.col("_last"))
+    return picks.join(used, "_rank").select(
         "user_id", "item_id", F.col("popularity").cast("double").alias("score"), "pos"
     )

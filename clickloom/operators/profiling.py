@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.columns import micros
 from clickloom.operators.quantiles import quantiles
+from clickloom.session import materialize
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -46,6 +47,8 @@ def describe_by(df: DataFrame, col: str, keys: Sequence[str] = ()) -> DataFrame:
     kept = df
     for key in keys:
         kept = kept.where(F.col(key).isNotNull())
+    # Read for the statistics and for each step of the quartiles: worked out once.
+    kept = materialize(kept.select(*keys, col), "described")
     stats = kept.groupBy(*keys).agg(
         F.count(col).alias("count"),
         F.avg(col).alias("mean"),

@@ -37,9 +37,21 @@ def _(spark, root):
     sql("SELECT day, count(*) AS n FROM interactions GROUP BY day", "interactions"),
 )
 def _(spark, root):
-    files = spark.read.parquet(_stored(spark, root) + "/day=*/*.parquet")
-    dated = events.with_day_from_file(files, r"day=(\d+)/")
-    return dated.groupBy("day").agg(F.count("*").alias("n"))
+    # One flat file per day, named by it, without a column that says so.
+    folder = scratch_path(spark, "daily")
+
+    def store(day):
+        from pyarrow import Table, fs, parquet
+
+        where, name = fs.FileSystem.from_uri(folder)
+        where.create_dir(name, recursive=True)
+        table = Table.from_pandas(day.drop(columns="day"), preserve_index=False)
+        parquet.write_table(table, f"{name}/{day['day'].iloc[0]}.parquet", filesystem=where)
+        return day[["day"]].head(1)
+
+    seen = adapters.interactions(spark, root).select("event_id", "user_id", "day")
+    seen.groupBy("day").applyInPandas(store, "day int").write.format("noop").mode("overwrite").save()
+    return events.read_events(spark, folder).groupBy("day").agg(F.count("*").alias("n"))
 
 
 @query(
@@ -53,10 +65,18 @@ def _(spark, root):
 
 @query(
     "resolve_day_range",
-    sql("SELECT min(day) AS day_from, max(day) AS day_to FROM interactions", "interactions"),
+    sql(
+        "SELECT 'both' AS missing, min(day) AS day_from, max(day) AS day_to FROM interactions UNION ALL "
+        "SELECT 'first', min(day), 19750 FROM interactions UNION ALL SELECT 'last', 19740, max(day) "
+        "FROM interactions UNION ALL SELECT 'none', 1, 2",
+        "interactions",
+    ),
 )
 def _(spark, root):
-    return events.day_range(adapters.interactions(spark, root))
+    seen = adapters.interactions(spark, root)
+    asked = {"both": (None, None), "first": (None, 19750), "last": (19740, None), "none": (1, 2)}
+    rows = [(name, *events.resolve_day_range(seen, *given)) for name, given in asked.items()]
+    return spark.createDataFrame(rows, "missing string, day_from int, day_to int")
 
 
 @query(

@@ -11,8 +11,8 @@ from clickloom.plans import experiments
 from clickloom.plans.queries_data import COUNTS, action_factors
 from clickloom.plans.queries_mart import PRICED, priced_pairs
 from clickloom.plans.registry import VIEWS, query, sql, tidy
-from clickloom.session import materialize
-from clickloom.sources import adapters
+from clickloom.session import materialize, scratch_path
+from clickloom.sources import adapters, factors
 
 K = 15
 
@@ -246,6 +246,46 @@ def _(spark, root):
     return list_facts(multvae.recommend_multvae(model, made, items, K, filter_seen=False))
 
 
+@query(
+    "saved_models",
+    sql(
+        "SELECT 'ease' AS model, (SELECT count(DISTINCT user_id) FROM test WHERE user_id IN (SELECT "
+        "user_id FROM train)) * 15 AS n, true AS same UNION ALL SELECT 'multvae', (SELECT "
+        "count(DISTINCT user_id) FROM often) * 15, true",
+        "train",
+        "test",
+        extra={"often": _frequent("train", 5)},
+    ),
+)
+def _(spark, root):
+    """Lists of fitted models next to those of the models read back."""
+    train, test = split(spark, root)
+    linear = ease.fit_ease(train, 300.0)
+    path = factors.save_ease(linear, scratch_path(spark, "ease"))
+    lists = {
+        "ease": [ease.recommend_ease(m, K, users=test) for m in (linear, factors.load_ease(spark, path))]
+    }
+    made = materialize(histories.history_from_events(train, "target", min_n=5), "histories")
+    known = histories.min_interactions(histories.pair_confidence(train, "target"), 5)
+    items = ranking.dense_index(known, "item_id", "item_idx")
+    vae = multvae.fit_multvae(made, items.count(), (16, 4), epochs=1, batch_size=64)
+    path = factors.save_multvae(spark, vae, items, scratch_path(spark, "vae"))
+    lists["multvae"] = [
+        multvae.recommend_multvae(model, made, ids, K, filter_seen=False)
+        for model, ids in ((vae, items), factors.load_multvae(spark, path))
+    ]
+    rows = None
+    for name, (before, after) in lists.items():
+        both = before.withColumnRenamed("score", "a").join(
+            after.withColumnRenamed("score", "b"), ["user_id", "item_id"], "full"
+        )
+        part = both.agg(
+            F.count("*").alias("n"), F.coalesce(F.min(F.abs(F.col("a") - F.col("b")) < 1e-5), F.lit(False)).alias("same")
+        ).select(F.lit(name).alias("model"), "n", "same")
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
 @query(
     "boosted_tree_ranker",
     facts_sql(

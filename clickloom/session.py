@@ -22,7 +22,13 @@ RUNTIME_CONF = {
 
 # Only at session start: Column operations otherwise record their Python call site, which
 # costs milliseconds each and adds up over hundreds of feature columns.
-START_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+# One BLAS thread per Python worker, as the tasks already fill the cores.
+START_CONF = {
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.executorEnv.OPENBLAS_NUM_THREADS": "1",
+    "spark.executorEnv.OMP_NUM_THREADS": "1",
+    "spark.executorEnv.MKL_NUM_THREADS": "1",
+}
 
 
 def build_session(app: str = "clickloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -53,16 +59,34 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
         return configured
     if current is None:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="clickloom-"))
         current = sc.getCheckpointDir()
     return current
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared one, for intermediate tables."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    _scratch.append(path)
+    return path
+
+
+def drop_scratch() -> int:
+    """Delete all intermediate tables of this process; call it when no result reads them any more."""
+    from pyarrow import fs
+
+    dropped = 0
+    while _scratch:
+        store, name = fs.FileSystem.from_uri(_scratch.pop())
+        if store.get_file_info(name).type == fs.FileType.Directory:
+            store.delete_dir(name)
+            dropped += 1
+    return dropped
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
