@@ -1,8 +1,8 @@
 """Variational autoencoder with a multinomial likelihood over user histories.
 
-Training is data parallel: each round broadcasts the weights, every task walks its
-share of the users in minibatches with Adam, and the results are averaged, weighted
-by users. Nothing but the averaged weights comes back to the driver.
+Training is data parallel and synchronous: each step broadcasts the weights, logical shards
+of one global batch sum their gradients, the sums are added shard by shard in Spark, and
+one Adam update follows on the driver, which holds the model and its moments only.
 """
 
 from __future__ import annotations
@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 from clickloom.operators.scoring import densify, score_histories
 from clickloom.session import materialize
 
-MAX_WEIGHT_BYTES = 1 << 30
+SHARDS = 32
+"""Logical shards of a batch; part of the model, not of the cluster."""
+
 SLICE = 1 << 16
-"""Weights per averaged piece: with a thousand tasks one group holds 256 MB."""
+"""Weights per summed piece: one group holds a piece of every shard, 16 MB."""
 
 Weights = dict[str, np.ndarray]
 
@@ -155,111 +157,113 @@ def fit_multvae(
 ) -> VaeModel:
     """Train on ``(user_id, item_idx[], weight[])`` rows.
 
-    KL warm-up and the cosine learning-rate decay (to a hundredth) advance with the
-    share of users seen, as they would in one sequential pass.
+    Synchronous data-parallel steps: the users of a global batch (drawn by a hash, anew in
+    every epoch) are dealt over a fixed number of logical shards, each shard sums its
+    gradients, the sums are added in order, and one Adam update follows. The model does
+    not depend on the number of tasks. KL warm-up and the cosine learning-rate decay (to a
+    hundredth) advance with the steps.
     """
     spark = histories.sparkSession
     sc = spark.sparkContext
     depth = len(dims)
     weights = init_weights(n_items, dims, seed)
-    size = sum(w.nbytes for w in weights.values())
-    if 3 * size > MAX_WEIGHT_BYTES:
-        raise ValueError(f"{size} bytes of weights are too many to broadcast; reduce the catalogue")
-    n_tasks = tasks or sc.defaultParallelism
+    # Kept dealt by logical shard, so a step shuffles gradient sums only; lost blocks are
+    # rebuilt from the stored table.
+    shard = F.pmod(F.xxhash64("user_id", F.lit(seed)), F.lit(SHARDS)).cast("int")
     data = materialize(
-        histories.select("user_id", "item_idx", "weight").repartition(n_tasks, "user_id"), "vae"
+        histories.select("user_id", "item_idx", "weight", shard.alias("shard")), "vae"
     )
     n_users = data.count()
-    # Users per task vary little; the expected share only drives the schedules.
-    data = data.repartition(n_tasks, "user_id")
+    data = data.repartition(tasks or sc.defaultParallelism, "shard").persist()
     steps = max(1, -(-n_users // batch_size))
     state = {f"{k}:{n}": np.zeros_like(w) for n, w in weights.items() for k in "mv"}
-    local_step, losses = 0, []
-
+    losses = []
     for epoch in range(epochs):
-        shared = sc.broadcast((weights, state, local_step))
-
-        def train(batches: Iterator[pd.DataFrame], epoch: int = epoch, shared=shared) -> Iterator[pd.DataFrame]:
-            from pyspark import TaskContext
-
-            part = TaskContext.get().partitionId()
-            rng = np.random.default_rng([seed, epoch, part])
-            start, moments, done = shared.value
-            own = {n: w.copy() for n, w in start.items()}
-            moments = {n: w.copy() for n, w in moments.items()}
-            rows, total, taken = 0, 0.0, 0
-            expected = max(1.0, n_users / n_tasks)
-            for frame in batches:
-                order = rng.permutation(len(frame))
-                for at in range(0, len(frame), batch_size):
-                    batch = frame.iloc[order[at : at + batch_size]]
-                    x = densify(batch["item_idx"], batch["weight"], n_items)
-                    mask = (rng.random(x.shape, dtype=np.float32) >= dropout) / (1.0 - dropout)
-                    noise = rng.standard_normal((len(x), dims[-1])).astype(np.float32)
-                    progress = (epoch + min(1.0, rows / expected)) * steps
-                    kl = anneal(progress + 1, total_anneal_steps, beta, kl_schedule)
-                    rate = lr
-                    if use_lr_scheduler:
-                        turn = math.cos(math.pi * min(1.0, progress / (steps * epochs)))
-                        rate = lr / 100 + (lr - lr / 100) * (1 + turn) / 2
-                    loss, grads = loss_and_gradients(
-                        x, own, depth, kl, mask.astype(np.float32), noise
-                    )
-                    taken += 1
-                    _adam(own, moments, grads, done + taken, rate, weight_decay)
-                    rows += len(x)
-                    total += loss * len(x)
-            if not rows:
-                return
-            for name, array in {**own, **moments}.items():
-                flat = array.ravel()
-                for at in range(0, flat.size, SLICE):
-                    piece = flat[at : at + SLICE].astype(np.float32).tobytes()
-                    yield pd.DataFrame(
-                        {"name": [name], "at": [at], "v": [piece], "n": [rows], "s": [taken]}
-                    )
-            yield pd.DataFrame(
-                {
-                    "name": ["loss"],
-                    "at": [0],
-                    "v": [np.array([total / rows], dtype=np.float32).tobytes()],
-                    "n": [rows],
-                    "s": [taken],
-                }
-            )
-
-        def average(group: pd.DataFrame) -> pd.DataFrame:
-            share = group["n"].to_numpy() / group["n"].sum()
-            mean = sum(w * np.frombuffer(v, dtype=np.float32) for w, v in zip(share, group["v"]))
-            return pd.DataFrame(
-                {
-                    "name": group["name"].iloc[:1],
-                    "at": group["at"].iloc[:1],
-                    "v": [mean.astype(np.float32).tobytes()],
-                    "n": [group["n"].sum()],
-                    "s": [group["s"].max()],
-                }
+        total = 0.0
+        for at in range(steps):
+            step = epoch * steps + at
+            kl = anneal(step + 1, total_anneal_steps, beta, kl_schedule)
+            turn = F.pmod(F.xxhash64("user_id", F.lit(seed + 1 + epoch)), F.lit(steps)) == at
+            shared = sc.broadcast(weights)
+            sums = _shard_gradients(
+                data.where(turn), shared, depth, n_items, dims[-1], dropout, kl, [seed, epoch, at]
             )
-
-        schema = "name string, at long, v binary, n long, s long"
-        merged = data.mapInPandas(train, schema).groupBy("name", "at").applyInPandas(average, schema)
-        loss, new, taken = 0.0, {}, 0
-        for row in merged.toLocalIterator():
-            values = np.frombuffer(row["v"], dtype=np.float32)
-            if row["name"] == "loss":
-                loss, taken = float(values[0]), row["s"]
+            loss, rows, grads = _collect_sums(sums, weights)
+            shared.unpersist()
+            if not rows:
                 continue
-            template = weights[row["name"]] if row["name"] in weights else state[row["name"]]
-            target = new.setdefault(row["name"], np.zeros(template.size, dtype=np.float32))
-            target[row["at"] : row["at"] + len(values)] = values
-        shared.unpersist()
-        weights = {n: new[n].reshape(w.shape) for n, w in weights.items()}
-        state = {n: new[n].reshape(w.shape) for n, w in state.items()}
-        local_step += taken
-        losses.append(loss)
+            rate = lr
+            if use_lr_scheduler:
+                turned = math.cos(math.pi * min(1.0, step / (steps * epochs)))
+                rate = lr / 100 + (lr - lr / 100) * (1 + turned) / 2
+            grads = {n: (g / rows).astype(np.float32) for n, g in grads.items()}
+            _adam(weights, state, grads, step + 1, rate, weight_decay)
+            total += loss
+        losses.append(total / max(n_users, 1))
+    data.unpersist()
     return VaeModel(weights, depth, n_items, losses)
 
 
+SUMS = "shard int, name string, at long, v binary, n long"
+
+
+def _shard_gradients(
+    data: DataFrame, shared, depth: int, n_items: int, latent: int, dropout: float, kl: float, key: list
+) -> DataFrame:
+    """Gradient sums of one global batch, summed over its shards in the order of their numbers.
+
+    A shard draws its dropout and noise from a generator of its own and takes its users in
+    order of their ids, so the sums do not depend on tasks or Arrow batches.
+    """
+
+    def gradients(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("user_id")
+        number = int(part["shard"].iloc[0])
+        rng = np.random.default_rng([*key, number])
+        sums: dict[str, np.ndarray] = {}
+        loss_sum = 0.0
+        for at in range(0, len(part), 256):
+            batch = part.iloc[at : at + 256]
+            x = densify(batch["item_idx"], batch["weight"], n_items)
+            mask = (rng.random(x.shape, dtype=np.float32) >= dropout) / (1.0 - dropout)
+            noise = rng.standard_normal((len(x), latent)).astype(np.float32)
+            loss, grads = loss_and_gradients(
+                x, shared.value, depth, kl, mask.astype(np.float32), noise
+            )
+            loss_sum += loss * len(x)
+            for name, g in grads.items():
+                sums[name] = sums.get(name, 0.0) + g.astype(np.float64) * len(x)
+        out = [(number, "loss", 0, np.array([loss_sum]).tobytes(), len(part))]
+        for name, array in sums.items():
+            flat = array.ravel()
+            for at in range(0, flat.size, SLICE):
+                out.append((number, name, at, flat[at : at + SLICE].tobytes(), len(part)))
+        return pd.DataFrame(out, columns=["shard", "name", "at", "v", "n"])
+
+    def add_up(pieces: pd.DataFrame) -> pd.DataFrame:
+        pieces = pieces.sort_values("shard")
+        total = sum(np.frombuffer(v, dtype=np.float64) for v in pieces["v"])
+        first = pieces.iloc[:1]
+        return first.assign(v=[total.tobytes()], n=[pieces["n"].sum()])
+
+    parts = data.groupBy("shard").applyInPandas(gradients, SUMS)
+    return parts.groupBy("name", "at").applyInPandas(add_up, SUMS)
+
+
+def _collect_sums(sums: DataFrame, weights: Weights) -> tuple[float, int, Weights]:
+    """(loss sum, users, gradient sums): as large as the model, whatever the users."""
+    loss, rows, grads = 0.0, 0, {}
+    for row in sums.toLocalIterator():
+        values = np.frombuffer(row["v"], dtype=np.float64)
+        if row["name"] == "loss":
+            loss, rows = float(values[0]), row["n"]
+            continue
+        shape = weights[row["name"]].shape
+        target = grads.setdefault(row["name"], np.zeros(shape))
+        target.reshape(-1)[row["at"] : row["at"] + len(values)] = values
+    return loss, rows, grads
+
+
 def recommend_multvae(
     model: VaeModel,
     histories: DataFrame,

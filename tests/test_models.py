@@ -125,7 +125,7 @@ def test_vae_learns_blocks(spark, blocks):
         F.array_sort(F.collect_list(F.struct("item_id", "target"))).alias("h")
     ).select("user_id", F.col("h.item_id").alias("item_idx"), F.col("h.target").alias("weight"))
     model = multvae.fit_multvae(
-        histories, 20, (16, 4), dropout=0.2, epochs=25, batch_size=8, lr=0.01,
+        histories, 20, (16, 4), dropout=0.2, epochs=40, batch_size=1_000, lr=0.05,
         total_anneal_steps=0, beta=0.01, tasks=2,
     )
     assert model.losses[-1] < model.losses[0]
@@ -140,6 +140,18 @@ def test_vae_learns_blocks(spark, blocks):
     assert scored[(0, 99)] == 0.0 and scored[(77, 1)] == 0.0 and scored[(0, 1)] != 0.0
 
 
+def test_vae_does_not_depend_on_tasks(spark, blocks):
+    histories = blocks.groupBy("user_id").agg(
+        F.array_sort(F.collect_list(F.struct("item_id", "target"))).alias("h")
+    ).select("user_id", F.col("h.item_id").alias("item_idx"), F.col("h.target").alias("weight"))
+    made = [
+        multvae.fit_multvae(histories, 20, (8, 3), epochs=2, batch_size=20, tasks=n) for n in (2, 8)
+    ]
+    for name, w in made[0].weights.items():
+        assert (w == made[1].weights[name]).all()
+    assert made[0].losses == made[1].losses
+
+
 def test_anneal():
     assert multvae.anneal(5, 10, 0.2) == pytest.approx(0.1)
     assert multvae.anneal(5, 10, 0.2, "cosine") == pytest.approx(0.1)
