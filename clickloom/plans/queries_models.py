@@ -144,33 +144,25 @@ def _(spark, root):
     pairs = train.select("user_id", "item_id", F.col("target").alias("value"))
     users, items, sigma = svd.truncated_svd(pairs, 5, steps=10, oversample=8)
     entries = pairs.groupBy("user_id", "item_id").agg(F.sum("value").alias("v"))
-    energy = entries.agg(F.round(F.sum(F.col("v") * F.col("v")), 3).alias("energy"))
-    rows = None
-    for i, value in enumerate(sigma):
-        own = [F.element_at("features", i + 1), *(F.element_at("features", j + 1) for j in range(i))]
-        dots = [F.sum(own[0] * other) for other in own]
-        off = F.greatest(F.lit(0.0), F.lit(0.0), *(F.abs(d) for d in dots[1:]))
-        good = items.agg(
-            (F.abs(dots[0] - 1) < 1e-6).alias("unit"), (off < 1e-6).alias("orthogonal")
-        )
-        found = users.agg(
-            (F.abs(F.sqrt(F.sum(own[0] * own[0])) - value) < 1e-6 * value).alias("matches")
+    energy = entries.agg(F.round(F.sum(F.col("v") * F.col("v")), 3)).first()[0]
+    part = lambda i: F.element_at("features", i + 1)
+    n = len(sigma)
+    cells = [(i, j) for i in range(n) for j in range(i + 1)]
+    dots = dict(zip(cells, items.agg(*(F.sum(part(i) * part(j)) for i, j in cells)).first()))
+    lengths = users.agg(*(F.sqrt(F.sum(part(i) * part(i))) for i in range(n))).first()
+    rows = [
+        (
+            i + 1,
+            energy,
+            abs(dots[i, i] - 1) < 1e-6,
+            all(abs(dots[i, j]) < 1e-6 for j in range(i)),
+            abs(lengths[i] - sigma[i]) < 1e-6 * sigma[i],
+            sigma[i] <= sigma[max(i - 1, 0)] and sum(v * v for v in sigma) <= energy,
         )
-        falling = value <= (sigma[i - 1] if i else value)
-        part = (
-            energy.crossJoin(good)
-            .crossJoin(found)
-            .select(
-                F.lit(i + 1).cast("bigint").alias("component"),
-                "energy",
-                "unit",
-                "orthogonal",
-                "matches",
-                (F.lit(falling) & (F.col("energy") >= sum(v * v for v in sigma))).alias("bounded"),
-            )
-        )
-        rows = part if rows is None else rows.unionByName(part)
-    return rows
+        for i in range(n)
+    ]
+    schema = "component long, energy double, unit boolean, orthogonal boolean, matches boolean, bounded boolean"
+    return spark.createDataFrame(rows, schema)
 
 
 @query(
@@ -463,7 +455,16 @@ def _(spark, root):
     return scoring.recommend_top_k(users, items, K, seen=seen, block=32)
 
 
-@query("autoencoder_scores")
+@query(
+    "autoencoder_scores",
+    sql(
+        "SELECT DISTINCT user_id, item_id, user_id IN (SELECT user_id FROM often) AND item_id IN "
+        "(SELECT item_id FROM often) AS scored, true AS finite FROM test",
+        "train",
+        "test",
+        extra={"often": _frequent("train", 5)},
+    ),
+)
 def _(spark, root):
     train, test = split(spark, root)
     made = materialize(histories.history_from_events(train, "target", min_n=5), "histories")
@@ -474,7 +475,13 @@ def _(spark, root):
     )
     model = multvae.fit_multvae(made, items.count(), (32, 8), epochs=2, batch_size=64)
     pairs = test.select("user_id", "item_id").distinct()
-    return tidy(multvae.score_pairs_multvae(model, made, pairs, items), 3)
+    scored = multvae.score_pairs_multvae(model, made, pairs, items)
+    return scored.select(
+        "user_id",
+        "item_id",
+        (F.col("score") != 0).alias("scored"),
+        (~F.isnan(F.col("score").cast("double"))).alias("finite"),
+    )
 
 
 @query(
