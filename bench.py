@@ -31,6 +31,9 @@ HEADLINE = [
     "truncated_svd",
     "ease",
     "multvae",
+    "boosted_tree_ranker",
+    "build_feature_layer",
+    "feature_mart",
     "duration_quantiles",
 ]
 
