@@ -215,8 +215,10 @@ def merge_runs(
         frame.insert(1, "row", range(len(rows)))
         return frame
 
+    # Dealt to a set number of tasks, as the descriptors of a range are few bytes and much work.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     merged = materialize(
-        parts.groupBy("part").applyInPandas(merge, f"part int, row long, {ROW_DDL}"), "captures"
+        parts.repartition(tasks, "part").groupBy("part").applyInPandas(merge, f"part int, row long, {ROW_DDL}"), "captures"
     )
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = merged.groupBy("part").agg(F.count("*").alias("n")).select(
