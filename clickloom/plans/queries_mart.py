@@ -20,7 +20,7 @@ from clickloom.sources import adapters
 from clickloom.vocab import ACTIONS, FEATURE_GROUPS, SUBDOMAINS
 
 WINDOW = 7
-GROUPS = [("user_id",), ("user_id", "item_id"), ("socdem_cluster", "category")]
+GROUPS = list(FEATURE_GROUPS)
 
 
 def _counters_of(spark, root):
