@@ -217,9 +217,8 @@ def merge_runs(
 
     # Dealt to a set number of tasks, as the descriptors of a range are few bytes and much work.
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    merged = materialize(
-        parts.repartition(tasks, "part").groupBy("part").applyInPandas(merge, f"part int, row long, {ROW_DDL}"), "captures"
-    )
+    dealt = parts.repartition(tasks, "part").groupBy("part")
+    merged = materialize(dealt.applyInPandas(merge, f"part int, row long, {ROW_DDL}"), "captures")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = merged.groupBy("part").agg(F.count("*").alias("n")).select(
         "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")

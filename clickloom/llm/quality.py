@@ -11,8 +11,9 @@ smallest hash: a documented bound), and these train a hashed linear scorer on wo
 pairs and repeats. The scorer then judges every whole text; texts under the threshold go.
 
 Cases: null and empty texts have no words, so every labeller is silent, and they score 0: there
-is nothing to learn from. Texts of a few words keep the labellers silent too. A corpus whose texts all look alike trains a constant; repeated rows count and are
-scored each; an empty table gives no rows; all columns of the table are kept.
+is nothing to learn from. Texts of a few words keep the labellers silent too. A corpus whose
+texts all look alike trains a constant; repeated rows are scored each; an empty table gives no
+rows; all columns of the table are kept, but for one named like the score, which is replaced.
 """
 
 from __future__ import annotations
@@ -92,7 +93,7 @@ def _digits(patterns: np.ndarray) -> np.ndarray:
 def label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> dict:
     """EM over vote patterns: prior of good, confusion[class, labeller, vote], posterior of good.
 
-    Starts from the majority of votes, with bad votes counting double as labellers say good far
+    Starts from a guess in which one bad vote outweighs all good ones, as labellers say good far
     more easily. A silent vote tells nothing about the class.
     """
     said = _digits(patterns)
