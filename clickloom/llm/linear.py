@@ -6,6 +6,7 @@ task, and its result is two arrays of fixed size, whatever the corpus.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -72,7 +73,7 @@ class Ngrams:
 
 
 def fit_logistic(
-    rows: list[tuple[np.ndarray, np.ndarray]],
+    rows: Sequence[tuple[np.ndarray, np.ndarray]],
     target: np.ndarray,
     weight: np.ndarray,
     buckets: int,

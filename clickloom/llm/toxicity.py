@@ -12,7 +12,8 @@ Rows of a class are weighted back to its true share. Scoring is one pass over al
 Cases: null and empty texts have no n-gram and get the score of the bias alone; null labels and
 labels of unknown documents are left out; contradicting labels of one document count as toxic;
 without any labelled row the score is 0; one class alone gives a constant on its side of 0.5.
-Repeated rows are scored each; an empty table gives no rows; other columns are not read.
+Repeated rows are scored each; an empty table gives no rows; other columns are kept, but for one
+named like the score, which is replaced.
 """
 
 from __future__ import annotations
@@ -39,17 +40,29 @@ def log_count_ratio(rows: list[np.ndarray], label: np.ndarray, weight: np.ndarra
     return np.log(counts[1]) - np.log(counts[0])
 
 
+class _Scaled:
+    """Rows of (buckets, their ratios), made one at a time: the ratios of all would be large."""
+
+    def __init__(self, rows: list[np.ndarray], ratio: np.ndarray):
+        self.rows, self.ratio = rows, ratio
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        return self.rows[i], self.ratio[self.rows[i]]
+
+
 def fit(frame: pd.DataFrame, bits: int = BITS) -> Linear:
     """Model of the rows (buckets as bytes, label, weight of the row's class)."""
-    frame = frame.sort_values(["key", "buckets"], kind="stable")
+    frame = frame.iloc[np.argsort(frame["key"].to_numpy(), kind="stable")]
     label = frame["label"].to_numpy(float)
     weight = frame["weight"].to_numpy(float)
     rows = [np.frombuffer(b, np.int32) for b in frame["buckets"]]
     if label.min() == label.max():
         return Linear(np.zeros(1 << bits, np.float32), 4.0 if label[0] else -4.0)
     ratio = log_count_ratio(rows, label, weight, 1 << bits)
-    scaled = [(r, ratio[r]) for r in rows]
-    model = fit_logistic(scaled, label, weight / weight.mean(), 1 << bits)
+    model = fit_logistic(_Scaled(rows, ratio), label, weight / weight.mean(), 1 << bits)
     return Linear((model.weight * ratio).astype(np.float32), model.bias)
 
 
