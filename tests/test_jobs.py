@@ -27,14 +27,15 @@ def test_targets_count_null_actions_in_the_total(spark):
     got = {(r["action_type"], r["len"], r["target"]) for r in made.distinct().collect()}
     assert got == {("view", 6, 2.0), ("click", 3, 4.0), ("like", 1, 12.0)}
     assert made.count() == 10
-    assert "Join" not in made._jdf.queryExecution().executedPlan().toString()
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
-def test_many_actions_fall_back_to_a_join(spark, monkeypatch):
-    monkeypatch.setattr(targets, "MAX_ACTIONS", 2)
-    df = spark.createDataFrame([("a",), ("a",), ("b",), ("c",)], "action_type string")
-    got = {r["action_type"]: r["target"] for r in targets.create_target(df, "unproccessed").collect()}
-    assert got == {"a": 2.0, "b": 4.0, "c": 4.0}
+def test_targets_of_many_actions(spark):
+    df = spark.range(5_000).selectExpr("concat('a', id) AS action_type", "id")
+    made = targets.create_target(df, "unproccessed")
+    assert made.columns == ["action_type", "id", "len", "target"]
+    assert made.where("len = 1 and target = 5000").count() == 5_000
 
 
 @pytest.mark.parametrize(
