@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.llm.components import components
+from clickloom.llm.files import partitions_of
 from clickloom.session import materialize
 
 SEED = 42
@@ -183,7 +184,9 @@ def links(prints: DataFrame, radius: int = 4, tile: int = TILE) -> DataFrame:
     pairs = met.select(
         F.least("tile", "other").alias("one"), F.greatest("tile", "other").alias("two"), "pack"
     )
-    return pairs.groupBy("one", "two").applyInPandas(_compare(radius), "a long, b long")
+    # Dealt to a set number of tasks, as a pair is few bytes and much work.
+    dealt = pairs.repartition(partitions_of(prints), "one", "two")
+    return dealt.groupBy("one", "two").applyInPandas(_compare(radius), "a long, b long")
 
 
 def group_fingerprints(
@@ -196,8 +199,13 @@ def group_fingerprints(
     named = linked.join(
         linked.groupBy("root").agg(F.min("_least").alias("_component")), "root"
     ).select(F.col("node").alias("fingerprint"), "_component")
-    groups = least.join(named, "fingerprint", "left").select(
-        "fingerprint", F.coalesce("_component", "_least").alias("component_id")
+    # Written first, so that the last join has two plain sides and a fingerprint that very many
+    # documents share is split over tasks.
+    groups = materialize(
+        least.join(named, "fingerprint", "left").select(
+            "fingerprint", F.coalesce("_component", "_least").alias("component_id")
+        ),
+        "groups",
     )
     return prints.drop("component_id").join(groups, "fingerprint")
 
