@@ -10,6 +10,10 @@ The posteriors label a bounded number of rows (`per_class` of each likely class,
 smallest hash: a documented bound), and these train a hashed linear scorer on word shapes, shape
 pairs and repeats. The scorer then judges every whole text; texts under the threshold go.
 
+Text without white space (Chinese or Japanese prose, base64, minified code) would be one word of
+any length: a word over LONG characters is read as a row of UNIT characters with the signs behind
+them, and labellers and scorer see these in its place. Every character plays its part.
+
 Cases: null and empty texts have no words, so every labeller is silent, and they score 0: there
 is nothing to learn from. Texts of a few words keep the labellers silent too. A corpus whose
 texts all look alike trains a constant; repeated rows are scored each; an empty table gives no
@@ -18,6 +22,7 @@ rows; all columns of the table are kept, but for one named like the score, which
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -49,10 +54,21 @@ LABELLERS = {
 }
 STRETCH = 40
 FEW = 5  # words below which shares say nothing
+LONG = 60  # characters above which a word is read in units
+UNIT = re.compile(r"\w{1,6}[^\w]{0,3}|[^\w]{1,3}")  # no character is left out
+STOPS = (".", "!", "?", ":", ";", "。", "！", "？", "：", "；")
 
 
-def _shares(text: str) -> list[float] | None:
+def words_of(text: str) -> list[str]:
+    """The words of a text; those over LONG characters as their units."""
     words = text.split()
+    if max(map(len, words), default=0) <= LONG:
+        return words
+    return [u for w in words for u in (UNIT.findall(w) if len(w) > LONG else (w,))]
+
+
+def _shares(text: str) -> list[float] | None:
+    words = words_of(text)
     n = len(words)
     if n < FEW:
         return None
@@ -61,11 +77,11 @@ def _shares(text: str) -> list[float] | None:
     echoes = sum(a == b for a, b in zip(words, words[1:]))
     stretches = [words[i : i + STRETCH] for i in range(0, n, STRETCH)]
     distinct = sum(len(set(s)) for s in stretches)
-    stopped = sum(any(w.endswith((".", "!", "?", ":", ";")) for w in s) for s in stretches)
+    stopped = sum(any(w.endswith(STOPS) for w in s) for s in stretches)
     return [
         sum(map(text.count, SYMBOLS)) / n,
         capitals / n,
-        text.count("!") / n,
+        (text.count("!") + text.count("！")) / n,
         lone / n,
         echoes / n,
         1 - distinct / n,
@@ -123,7 +139,7 @@ class Shapes(dict):
 
     def __missing__(self, word: str) -> int:
         shape = []
-        for c in word[:200]:
+        for c in word:
             kind = "X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c
             if not shape or shape[-1] != kind:
                 shape.append(kind)
@@ -135,14 +151,14 @@ class Shapes(dict):
 
 def features(text: str | None, shapes: Shapes, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """Buckets and values: shape, shape pair and repeat counts, each by the root of its share."""
-    words = (text or "").split()
+    words = words_of(text or "")
     if not words:
         return np.zeros(0, np.int32), np.zeros(0)
     kind = np.fromiter(map(shapes.__getitem__, words), np.uint64, len(words))
     ends = np.fromiter(map(len, words), np.uint64, len(words))
     echo = np.fromiter((a == b for a, b in zip(words, words[1:])), np.uint64, len(words) - 1)
     pair = kind[:-1] * np.uint64(31) + kind[1:] + np.uint64(7)
-    size = np.minimum(ends, np.uint64(60)) + np.uint64(1 << 40)
+    size = ends + np.uint64(1 << 40)  # at most LONG
     found = np.concatenate([kind, pair, echo + np.uint64(1 << 41), size])
     mixed = found * np.uint64(0x9E3779B97F4A7C15)
     index, count = np.unique((mixed >> np.uint64(64 - bits)).astype(np.int32), return_counts=True)

@@ -136,3 +136,27 @@ def test_odd_tables(spark):
     scores = {r["doc_id"]: r["score"] for r in kept.collect()}
     assert scores[1] == scores[2] == 0.0
     assert quality.score(empty, quality.train(empty)).count() == 0
+
+
+def test_quality_reads_texts_without_spaces():
+    """All characters of a text without white space reach the scorer, and the labellers judge it."""
+    prose = "今天天气很好，我们一起去公园散步。孩子们在草地上放风筝，老人坐在长椅上聊天！" * 3
+    prose = "".join(c + chr(0x4E00 + 7 * i) for i, c in enumerate(prose))
+    junk = prose[:210] + "#$%{}=" * 300
+    assert "".join(quality.words_of(junk)) == junk
+
+    def said(text):
+        return dict(zip(quality.LABELLERS, quality._digits(np.array([quality.votes(text)]))[0]))
+
+    def found(text):
+        index, value = quality.features(text, quality.Shapes())
+        return dict(zip(index.tolist(), value.tolist()))
+
+    assert quality.GOOD in said(prose).values() and quality.BAD not in said(prose).values()
+    assert said(junk)["symbols"] == quality.BAD
+    assert len(set(found(junk)) - set(found(prose[:210]))) > 1
+    assert found("x" * 70 + "9" * 400) != found("x" * 70 + "9" * 100)
+    shapes = quality.Shapes()
+    assert shapes["x" * 300 + "9"] != shapes["x" * 300]
+    plain = "No word of this text is over sixty characters. " * 9
+    assert quality.words_of(plain) == plain.split()
