@@ -6,7 +6,8 @@ come splitters that cut the key space into ranges; a task takes one range, opens
 reach into it from every run, and merges them with a loser tree: one comparison per level for each
 row, one batch of each run in memory. Splitters are whole keys, so a URL with very many captures
 spans many ranges. If there are more than `fan_in` runs, groups of `fan_in` are first merged into
-longer ones, round after round.
+longer ones, round after round: by key ranges too, each streamed to a file of its own, so a longer
+run is a chain of files in key order and no task holds more than a batch of each run of its group.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.files import open_input, write_file
+from clickloom.llm.files import new_file, open_input
 from clickloom.session import materialize
 
 BATCH = 1_024
@@ -91,10 +92,9 @@ class LoserTree:
 
 
 def write_run(path: str, rows: Iterable[tuple]) -> list[tuple]:
-    """Write sorted rows as a run; returns its batch descriptors (see BATCHES)."""
-    sink = pa.BufferOutputStream()
+    """Write sorted rows as a run, batch by batch; returns its batch descriptors (see BATCHES)."""
     found: list[tuple] = []
-    with pa.ipc.new_file(sink, ROW) as out:
+    with new_file(path) as sink, pa.ipc.new_file(sink, ROW) as out:
         held: list[tuple] = []
 
         def flush():
@@ -109,7 +109,6 @@ def write_run(path: str, rows: Iterable[tuple]) -> list[tuple]:
                 flush()
         if held:
             flush()
-    write_file(path, [sink.getvalue()])
     return found
 
 
@@ -127,36 +126,14 @@ def _cursor(path: str, batches: list[int], low: tuple | None, high: tuple | None
 
 
 def _merged(batches: pd.DataFrame, low: tuple | None = None, high: tuple | None = None):
-    runs = batches.sort_values(["run", "batch"]).groupby("run", sort=True)["batch"]
-    return LoserTree(_cursor(run, part.tolist(), low, high) for run, part in runs)
+    """Rows of a key range from all runs; the files of a run follow each other in key order."""
 
+    def rows(files: pd.DataFrame) -> Iterator[tuple]:
+        for path, part in files.groupby("run", sort=True)["batch"]:
+            yield from _cursor(path, part.tolist(), low, high)
 
-def _longer_run(folder: str):
-    def merge(part: pd.DataFrame) -> pd.DataFrame:
-        path = f"{folder}/run-{part['lot'].iloc[0]:06d}.arrow"
-        names = [c.split()[0] for c in BATCHES.split(", ")]
-        return pd.DataFrame(write_run(path, _merged(part)), columns=names)
-
-    return merge
-
-
-def _fewer_runs(batches: DataFrame, folder: str, fan_in: int) -> DataFrame:
-    """Merge groups of `fan_in` runs until there are at most `fan_in`."""
-    level = 0
-    while (count := batches.select("run").distinct().count()) > fan_in:
-        groups = -(-count // fan_in)
-        order = Window.orderBy("run")
-        lots = batches.select("run").distinct().select(
-            "run", ((F.row_number().over(order) - 1) % groups).alias("lot")
-        )
-        batches = materialize(
-            batches.join(lots, "run")
-            .groupBy("lot")
-            .applyInPandas(_longer_run(f"{folder}/merged-{level}"), BATCHES),
-            "runs",
-        )
-        level += 1
-    return batches
+    runs = batches.sort_values(["run", "batch"]).groupby("chain", sort=True)
+    return LoserTree(rows(files) for _, files in runs)
 
 
 def _splitters(batches: DataFrame, ranges: int) -> list[tuple]:
@@ -172,17 +149,8 @@ def _splitters(batches: DataFrame, ranges: int) -> list[tuple]:
     return cuts
 
 
-def merge_runs(
-    batches: DataFrame, folder: str, *, ranges: int | None = None, fan_in: int = FAN_IN
-) -> DataFrame:
-    """(index row, position): all rows of the runs, numbered 0.. in global order."""
-    spark = batches.sparkSession
-    batches = _fewer_runs(batches, folder, fan_in)
-    if ranges is None:
-        rows = batches.agg(F.sum("rows")).first()[0] or 0
-        ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // 100_000))
-    cuts = _splitters(batches, ranges)
-    bounds = [None, *cuts, None]
+def _reaching(batches: DataFrame, cuts: list[tuple]) -> DataFrame:
+    """(chain, run, batch, part): each batch once for every key range it reaches into."""
 
     @F.pandas_udf("array<int>")
     def reached(
@@ -197,15 +165,58 @@ def merge_runs(
         return pd.Series(out)
 
     number = lambda name: F.coalesce(F.col(name), F.lit(NO_ID))
-    parts = batches.select(
-        "run",
-        "batch",
-        F.explode(
-            reached(
-                "first_key", "first_ts", number("first_id"), "last_key", "last_ts", number("last_id")
-            )
-        ).alias("part"),
-    )
+    ends = ["first_key", "first_ts", number("first_id"), "last_key", "last_ts", number("last_id")]
+    return batches.select("chain", "run", "batch", F.explode(reached(*ends)).alias("part"))
+
+
+def _longer_run(folder: str, bounds: list[tuple | None]):
+    def merge(batches: pd.DataFrame) -> pd.DataFrame:
+        lot, r = int(batches["lot"].iloc[0]), int(batches["part"].iloc[0])
+        path = f"{folder}/run-{lot:06d}/part-{r:06d}.arrow"
+        found = write_run(path, _merged(batches, bounds[r], bounds[r + 1]))
+        frame = pd.DataFrame(found, columns=[c.split()[0] for c in BATCHES.split(", ")])
+        frame.insert(0, "chain", f"{folder}/run-{lot:06d}")
+        return frame.astype({"first_id": "Int64", "last_id": "Int64"})
+
+    return merge
+
+
+def _fewer_runs(batches: DataFrame, folder: str, fan_in: int, ranges: int) -> DataFrame:
+    """Merge groups of `fan_in` runs until there are at most `fan_in`. A group is merged by key
+    ranges, as many as the ranges leave it, each in a task and to a file of its own."""
+    tasks = int(batches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    level = 0
+    while (count := batches.select("chain").distinct().count()) > fan_in:
+        groups = -(-count // fan_in)
+        order = Window.orderBy("chain")
+        lots = batches.select("chain").distinct().select(
+            "chain", ((F.row_number().over(order) - 1) % groups).alias("lot")
+        )
+        cuts = _splitters(batches, max(2, -(-ranges // groups)))
+        dealt = (
+            _reaching(batches, cuts)
+            .join(lots, "chain")
+            .repartition(tasks, "lot", "part")
+            .groupBy("lot", "part")
+        )
+        merge = _longer_run(f"{folder}/merged-{level}", [None, *cuts, None])
+        batches = materialize(dealt.applyInPandas(merge, f"chain string, {BATCHES}"), "runs")
+        level += 1
+    return batches
+
+
+def merge_runs(
+    batches: DataFrame, folder: str, *, ranges: int | None = None, fan_in: int = FAN_IN
+) -> DataFrame:
+    """(index row, position): all rows of the runs, numbered 0.. in global order."""
+    spark = batches.sparkSession
+    if ranges is None:
+        rows = batches.agg(F.sum("rows")).first()[0] or 0
+        ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // 100_000))
+    batches = _fewer_runs(batches.withColumn("chain", F.col("run")), folder, fan_in, ranges)
+    cuts = _splitters(batches, ranges)
+    bounds = [None, *cuts, None]
+    parts = _reaching(batches, cuts)
 
     def merge(part: pd.DataFrame) -> pd.DataFrame:
         r = int(part["part"].iloc[0])

@@ -9,6 +9,8 @@ never see half a file.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -26,17 +28,24 @@ def opened(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
-def write_file(path: str, chunks) -> int:
-    """Write byte chunks as one file, in place at once; returns the bytes written."""
+@contextmanager
+def new_file(path: str) -> Iterator:
+    """An output stream; the file is put in place when the block ends without an error."""
     store, name = opened(path)
     store.create_dir(name.rsplit("/", 1)[0], recursive=True)
     draft = f"{name}.{uuid.uuid4().hex}.draft"
-    size = 0
     with store.open_output_stream(draft) as out:
+        yield out
+    store.move(draft, name)
+
+
+def write_file(path: str, chunks) -> int:
+    """Write byte chunks as one file, in place at once; returns the bytes written."""
+    size = 0
+    with new_file(path) as out:
         for chunk in chunks:
             out.write(chunk)
             size += len(chunk)
-    store.move(draft, name)
     return size
 
 

@@ -99,3 +99,33 @@ def test_url_keys():
 def test_no_pages(spark):
     index = warc.write_archives(spark.createDataFrame([], PAGES))
     assert index.count() == 0 and warc.read_records(index).count() == 0
+
+
+def test_longer_runs_are_files_of_key_ranges(spark, tmp_path, monkeypatch):
+    """A group of runs is merged in several tasks, and no file holds the whole of it."""
+    monkeypatch.setattr(captureindex, "BATCH", 4)
+    found = []
+    for run in range(7):
+        rows = [(f"k{i:03d}", "", run, None, "d", "response", "f", i, 1) for i in range(100)]
+        found += captureindex.write_run(f"{tmp_path}/run-{run}.arrow", rows)
+    batches = spark.createDataFrame(found, captureindex.BATCHES)
+    merged = captureindex.merge_runs(batches, str(tmp_path), ranges=8, fan_in=4).orderBy("position")
+    got = [(r["urlkey"], r["id"]) for r in merged.collect()]
+    assert got == [(f"k{i:03d}", run) for i in range(100) for run in range(7)]
+    files = sorted((tmp_path / "merged-0").rglob("*.arrow"))
+    assert len(files) > 2 * 2
+    assert max(f.stat().st_size for f in files) < sum(f.stat().st_size for f in files) / 4
+
+
+def test_run_is_written_batch_by_batch(tmp_path, monkeypatch):
+    monkeypatch.setattr(captureindex, "BATCH", 64)
+    sizes = []
+
+    def rows():
+        for i in range(6400):
+            if i % 640 == 0:
+                sizes.append(sum(f.stat().st_size for f in tmp_path.rglob("*.draft")))
+            yield (f"k{i:05d}", "", i, "u" * 200, "d", "response", "f", i, 1)
+
+    captureindex.write_run(f"{tmp_path}/run.arrow", rows())
+    assert sizes[-1] > sizes[4] > 0
