@@ -76,16 +76,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def drop_scratch() -> int:
-    """Delete all intermediate tables of this process; call it when no result reads them any more."""
+def drop_folder(path: str) -> bool:
+    """Delete an intermediate table; False if it was never written."""
     from pyarrow import fs
 
+    store, name = fs.FileSystem.from_uri(path)
+    found = store.get_file_info(name).type == fs.FileType.Directory
+    if found:
+        store.delete_dir(name)
+    return found
+
+
+def drop_scratch() -> int:
+    """Delete all intermediate tables of this process; call it when no result reads them any more."""
     dropped = 0
     while _scratch:
-        store, name = fs.FileSystem.from_uri(_scratch.pop())
-        if store.get_file_info(name).type == fs.FileType.Directory:
-            store.delete_dir(name)
-            dropped += 1
+        dropped += drop_folder(_scratch.pop())
     return dropped
 
 

@@ -67,6 +67,37 @@ def test_ease_closed_form(blocks):
     assert share_in_block(ease.recommend_ease(model, 2)) > 0.8
 
 
+def test_ease_in_tiles(blocks, monkeypatch):
+    """Several tiles, shards and column blocks; nothing but small facts reaches the driver."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from clickloom.operators import scoring
+
+    monkeypatch.setattr(ease, "TILE", 8)
+    monkeypatch.setattr(ease, "ENTRIES", 20)
+    monkeypatch.setattr(ease, "FAN", 2)
+    monkeypatch.setattr(scoring, "COLUMN_MB", 0)
+    monkeypatch.setattr(DataFrame, "toPandas", lambda self: pytest.fail("table sent to the driver"))
+    model = ease.fit_ease(blocks, reg=5.0, tasks=3)
+    recs = ease.recommend_ease(model, 4).collect()
+    monkeypatch.undo()
+    rows = blocks.toPandas()
+    x = np.zeros((40, 20))
+    np.add.at(x, (rows["user_id"], rows["item_id"]), 1.0)
+    inverse = np.linalg.inv(x.T @ x + 5.0 * np.eye(20))
+    want = -inverse / np.diag(inverse)
+    np.fill_diagonal(want, 0.0)
+    got = np.stack([r["weights"] for r in model.weights.orderBy("item_idx").collect()]).T
+    assert np.allclose(got, want, atol=1e-10)
+    scores = np.where(x > 0, -np.inf, x @ want)
+    best = {u: np.sort(s[np.isfinite(s)])[::-1][:4] for u, s in enumerate(scores)}
+    for user in {r["user_id"] for r in recs}:
+        mine = [r for r in recs if r["user_id"] == user]
+        assert np.allclose(sorted((r["score"] for r in mine), reverse=True), best[user])
+        assert all(np.isclose(scores[user, r["item_id"]], r["score"]) for r in mine)
+    assert {r["user_id"] for r in recs} == {int(u) for u in np.flatnonzero(x.any(axis=1))}
+
+
 def test_blocked_and_broadcast_scoring_agree(spark):
     rng = np.random.default_rng(5)
     users = spark.createDataFrame(
