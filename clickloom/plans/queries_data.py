@@ -37,20 +37,10 @@ def _(spark, root):
     sql("SELECT day, count(*) AS n FROM interactions GROUP BY day", "interactions"),
 )
 def _(spark, root):
-    # One flat file per day, named by it, without a column that says so.
+    # Flat files named by their day, without a column that says so.
     folder = scratch_path(spark, "daily")
-
-    def store(day):
-        from pyarrow import Table, fs, parquet
-
-        where, name = fs.FileSystem.from_uri(folder)
-        where.create_dir(name, recursive=True)
-        table = Table.from_pandas(day.drop(columns="day"), preserve_index=False)
-        parquet.write_table(table, f"{name}/{day['day'].iloc[0]}.parquet", filesystem=where)
-        return day[["day"]].head(1)
-
     seen = adapters.interactions(spark, root).select("event_id", "user_id", "day")
-    seen.groupBy("day").applyInPandas(store, "day int").write.format("noop").mode("overwrite").save()
+    events.write_day_files(seen, folder)
     return events.read_events(spark, folder).groupBy("day").agg(F.count("*").alias("n"))
 
 

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyarrow import fs, parquet
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,20 +44,54 @@ USERS = T.StructType(
 )
 
 
-def _day_files(spark: SparkSession, path: str) -> dict[int, str]:
-    """Day -> path of the flat ``{day}.<ext>`` files of a folder; other names are ignored."""
+def _day_files(spark: SparkSession, path: str) -> dict[int, list[str]]:
+    """Day -> paths of the flat ``{day}.<ext>`` files of a folder, any number a day; other names
+    are ignored."""
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     found = {}
-    if fs.exists(folder):
-        for status in fs.listStatus(folder):
+    if store.exists(folder):
+        for status in store.listStatus(folder):
             stem = status.getPath().getName().split(".")[0]
             if stem.isdigit():
-                found[int(stem)] = status.getPath().toString()
+                found.setdefault(int(stem), []).append(status.getPath().toString())
     return found
 
 
+def write_day_files(events: DataFrame, path: str, parts: int = 16) -> None:
+    """Flat files ``{day}.{task}.parquet`` without the column ``day``, up to ``parts`` a day.
+
+    A task streams its rows, ordered by day, into one file at a time, so a hot day spreads
+    over tasks and none holds it.
+    """
+    salt = F.pmod(F.xxhash64(*events.columns), F.lit(parts))
+
+    def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        where, name = fs.FileSystem.from_uri(path)
+        where.create_dir(name, recursive=True)
+        task = TaskContext.get().partitionId()
+        out, current = None, None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            for day in rows["day"].unique().to_pylist():  # in order, as the rows are
+                part = rows.filter(pc.equal(rows["day"], day)).drop_columns(["day"])
+                if day != current:
+                    if out is not None:
+                        out.close()
+                    file, current = f"{name}/{day}.{task:05d}.parquet", day
+                    out = parquet.ParquetWriter(file, part.schema, filesystem=where)
+                out.write_table(part)
+        if out is not None:
+            out.close()
+        yield from ()
+
+    dated = events.where(F.col("day").isNotNull())
+    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = dated.repartition(tasks, "day", salt).sortWithinPartitions("day")
+    placed.mapInArrow(store, "day int").write.format("noop").mode("overwrite").save()
+
+
 def read_events(
     spark: SparkSession,
     path: str,
@@ -69,7 +109,8 @@ def read_events(
     if flat:
         wanted = [
             p
-            for d, p in sorted(flat.items())
+            for d, paths in sorted(flat.items())
+            for p in paths
             if (day_from is None or d >= day_from) and (day_to is None or d <= day_to)
         ]
         if not wanted:

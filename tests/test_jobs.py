@@ -252,6 +252,15 @@ def test_read_flat_daily_files(spark, tmp_path):
         events.read_events(spark, str(tmp_path), 8, 9)
 
 
+def test_hot_day_is_written_and_read_in_several_files(spark, tmp_path):
+    rows = [(i, 5 if i % 10 else i) for i in range(400)]
+    df = spark.createDataFrame(rows, "event_id long, day int")
+    events.write_day_files(df, str(tmp_path))
+    assert len(list(tmp_path.glob("5.*.parquet"))) > 1
+    got = events.read_events(spark, str(tmp_path))
+    assert sorted((r["event_id"], r["day"]) for r in got.collect()) == rows
+
+
 def test_layer_rerun_replaces_only_its_days(spark):
     path = scratch_path(spark, "layer")
     df = spark.createDataFrame([(1, 10), (2, 20)], "day int, v int")
