@@ -6,7 +6,8 @@ its log-count ratio r = log(p / |p|) - log(q / |q|) where the text has it, 0 els
 regression on these features gives the score.
 
 Training reads labelled rows only: at most `per_class` of each label, those with the smallest
-hash of their id (a documented bound; the ids are broadcast, so the texts are not shuffled).
+hash of their id (a documented bound; the ids are broadcast, so only texts of chosen ids are
+shuffled), one row of each id: where an id stands in several rows, the text of least hash.
 Rows of a class are weighted back to its true share. Scoring is one pass over all whole texts.
 
 Cases: null and empty texts have no n-gram and get the score of the bias alone; null labels and
@@ -112,8 +113,8 @@ def train(
     rows = (
         docs.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text"))
         .join(F.broadcast(chosen), "key")
-        .orderBy(F.xxhash64("key"), "key", F.xxhash64("text"))
-        .limit(2 * per_class)
+        .groupBy("key", "label", "weight")  # a repeated id counts once: the text of least hash
+        .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
         .select("key", "label", "weight", features("text").alias("buckets"))
     )
     model = fit_in_one_task(rows, lambda frame: fit(frame, bits))

@@ -160,3 +160,15 @@ def test_quality_reads_texts_without_spaces():
     assert shapes["x" * 300 + "9"] != shapes["x" * 300]
     plain = "No word of this text is over sixty characters. " * 9
     assert quality.words_of(plain) == plain.split()
+
+
+def test_copies_of_a_labelled_row_push_no_other_out(spark):
+    """One id with very many rows: the fit still reads every chosen id, each once."""
+    docs = [(1, "you idiot " * 5)] * 60 + [(10 + i, f"kind words {i} ") for i in range(8)]
+    docs += [(100 + i, f"vile insult {i} ") for i in range(8)]
+    labels = [(1, 1)] + [(10 + i, 0) for i in range(8)] + [(100 + i, 1) for i in range(8)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    many = toxicity.train(docs, labels, per_class=9)
+    once = toxicity.train(docs.distinct(), labels, per_class=9)
+    assert many.bias == once.bias and np.array_equal(many.weight, once.weight)
