@@ -11,9 +11,12 @@ from clickloom.llm import (
     ann,
     chat,
     decontam,
+    merkle,
     mixing,
+    periodic,
     quality,
     simhash,
+    superminhash,
     tokencounts,
     tokenfiles,
     toxicity,
@@ -240,3 +243,227 @@ def op9(spark, root):
 def op10(spark, root):
     docs = table(spark, root, "documents")
     return tokencounts.count_tokens(docs, byte_bpe(), ["source", "lang", "text"])
+
+
+# Unsigned CRC-32 of the decimal digits of doc_id, for DuckDB, from the polynomial.
+CRC_SQL = """
+crc_table AS (
+  SELECT list_transform(range(256), lambda b:
+    list_reduce(list_prepend(b, [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda c, x:
+      CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps),
+numbered AS (
+  SELECT d.*, xor(list_reduce(
+    list_prepend(4294967295::BIGINT,
+                 list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda s: ascii(s)::BIGINT)),
+    lambda c, b: xor(c >> 8, steps[1 + (xor(c, b) & 255)])), 4294967295) AS crc
+  FROM documents d, crc_table)"""
+
+
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _merkle_sql(group_levels: int = 10, top_levels: int = 5) -> str:
+    """Each level joins nodes to their run of eight; enough levels for 8^10 rows and 8^5 groups."""
+
+    def leaf(text: str) -> str:
+        fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+        parts = [f"coalesce(octet_length(encode({f}))::VARCHAR || ':' || {f}, '-')" for f in fields]
+        return f"sha256({' || '.join(parts)})"
+
+    lower = f"translate(text, '{UPPER}', '{UPPER.lower()}')"
+    steps = [
+        CRC_SQL.strip(),
+        f"""leaves AS (
+  SELECT doc_id, lang, {leaf("text")} AS leaf,
+         CASE WHEN crc % 3 = 0 THEN {leaf(lower)} ELSE {leaf("text")} END AS probe
+  FROM numbered)""",
+        """g0 AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+         leaf AS node FROM leaves)""",
+        """p0 AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+         leaf AS node, probe AS fold, '' AS proof FROM leaves)""",
+    ]
+
+    def climb(tag: str, levels: int):
+        for k in range(levels):
+            steps.append(f"""{tag}r{k} AS (
+  SELECT lang, i // 8 AS run, string_agg(node, '' ORDER BY i) AS run_nodes,
+         any_value(total) AS total
+  FROM (SELECT *, count(*) OVER (PARTITION BY lang) AS total FROM {tag}{k}) GROUP BY lang, i // 8)""")
+            steps.append(f"""{tag}{k + 1} AS (
+  SELECT lang, run AS i, CASE WHEN total > 1 THEN sha256(run_nodes) ELSE run_nodes END AS node
+  FROM {tag}r{k})""")
+
+    def descend(proofs: str, tag: str, at: int, levels: int):
+        for k in range(levels):
+            left = "substr(run_nodes, 1, 64 * (p.i % 8)::BIGINT)"
+            right = "substr(run_nodes, 64 * (p.i % 8)::BIGINT + 65)"
+            steps.append(f"""{proofs}{at + k + 1} AS (
+  SELECT p.* EXCLUDE (i, fold, proof), p.i // 8 AS i,
+         CASE WHEN total > 1 THEN sha256({left} || fold || {right}) ELSE fold END AS fold,
+         CASE WHEN total > 1 THEN proof || {left} || {right} ELSE proof END AS proof
+  FROM {proofs}{at + k} p JOIN {tag}r{k} r
+    ON p.top IS NOT DISTINCT FROM r.lang AND p.i // 8 = r.run)""")
+
+    steps[-1] = steps[-1].replace("SELECT *,", "SELECT *, lang AS top,")
+    climb("g", group_levels)
+    descend("p", "g", 0, group_levels)
+    steps.append(f"""t0 AS (
+  SELECT 0 AS lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, node, lang AS of
+  FROM g{group_levels})""")
+    climb("t", top_levels)
+    steps.append(f"""q0 AS (
+  SELECT p.* EXCLUDE (i, top), t.i, 0 AS top, t.node AS subroot
+  FROM p{group_levels} p JOIN t0 t ON p.lang IS NOT DISTINCT FROM t.of)""")
+    descend("q", "t", 0, top_levels)
+    return (
+        "WITH " + ",\n".join(steps) + f"""
+SELECT doc_id, leaf, subroot, r.node AS root, sha256(proof) AS proof_sha256,
+       fold AS folded_root, fold = r.node AS verified
+FROM q{top_levels}, t{top_levels} r"""
+    )
+
+
+def lowered(text):
+    """A-Z in lower case, all else as it is; texts without other characters take the quick way."""
+    plain = F.octet_length(text) == F.length(text)
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
+
+
+def id_crc():
+    return F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+
+@query("op11_merkle_manifest", _merkle_sql())
+def op11(spark, root):
+    def leaf(text):
+        return merkle.leaf(*(F.col(c) for c in ("doc_id", "source", "lang", "n_chars")), text)
+
+    text = F.col("text")
+    rows = table(spark, root, "documents").select(
+        "doc_id",
+        "lang",
+        leaf(text).alias("leaf"),
+        F.when(id_crc() % 3 == 0, leaf(lowered(text))).alias("tampered"),
+    )
+    found = merkle.proofs(merkle.build(rows)).select(
+        "row.doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"),
+        merkle.folded(F.coalesce("row.tampered", "leaf"), F.col("proof")).alias("folded_root"),
+    )
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+RUNS_SQL = rf"""
+WITH {CRC_SQL.strip()},
+split AS (
+  SELECT doc_id, coalesce(crc, 1) AS crc, crc // 10 AS g,
+         coalesce(regexp_extract_all(text, '[^ 	-
+]+'), []) AS words
+  FROM numbered),
+cut AS (SELECT *, len(words) AS n, CASE WHEN crc % 10 = 0 AND len(words) > 0 THEN g % len(words) END AS a
+        FROM split),
+turned AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM cut),
+texts AS (
+  SELECT row_number() OVER () AS d, doc_id,
+         CASE WHEN a IS NULL THEN words
+              ELSE list_transform(range(n), lambda i: words[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END])
+         END AS words FROM turned),
+w AS (SELECT d, unnest(range(len(words))) AS i, unnest(words) AS word FROM texts),
+grams AS (
+  SELECT d, i, string_agg(word, ' ') OVER six AS gram, count(*) OVER six AS size FROM w
+  WINDOW six AS (PARTITION BY d ORDER BY i ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING)),
+same AS (
+  SELECT y.d, y.i, y.i - x.i AS lag FROM grams x JOIN grams y
+    ON x.d = y.d AND x.gram = y.gram AND x.i < y.i WHERE x.size = 6 AND y.size = 6),
+streaks AS (
+  SELECT d, lag, min(i) AS first, max(i) AS last
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY d, lag ORDER BY i) AS island FROM same)
+  GROUP BY d, lag, island),
+runs AS (
+  SELECT d, first - lag AS start, last + 6 - first + lag AS length, min(lag) AS period
+  FROM streaks WHERE last + 6 - first + lag >= greatest(12, 2 * lag) GROUP BY ALL),
+facts AS (
+  SELECT d, count(*) AS n_runs,
+         arg_min({{'start': start, 'length': length, 'period': period}}, [-length, start, period]) AS best,
+         string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed
+  FROM runs GROUP BY d),
+kept AS (
+  SELECT w.d, string_agg(word, ' ' ORDER BY i) AS rest FROM w
+  WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.d = w.d AND w.i >= r.start + r.period
+                                           AND w.i < r.start + r.length) GROUP BY w.d)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length AS length,
+       best.period AS period, 1000 * best.length // best.period AS exponent_milli,
+       sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(rest, '')) AS collapsed_sha256
+FROM texts LEFT JOIN facts USING (d) LEFT JOIN kept USING (d)"""
+
+
+@query("op12_periodic_runs", RUNS_SQL)
+def op12(spark, root):
+    docs = table(spark, root, "documents").select("doc_id", "text", id_crc().alias("crc"))
+    # Every tenth document gets a tail that repeats itself.
+    words = F.when(F.col("crc") % 10 == 0, F.regexp_extract_all("text", F.lit(mixing.WORD), F.lit(0)))
+    planted = (
+        docs.withColumn("words", words)
+        .withColumn("n", F.expr("coalesce(size(words), 0)"))
+        .withColumn("a", F.expr("if(n > 0, crc div 10 % n, null)"))
+        .withColumn("p", F.expr("1 + (n - a) div (3 + crc div 10 % 8)"))
+    )
+    turned = "transform(sequence(0, n - 1), i -> words[if(i < a, i, cast(a + (i - a) % p as int))])"
+    texts = planted.select("doc_id", F.expr(f"if(n > 0, array_join({turned}, ' '), text)").alias("text"))
+    found = periodic.periodic_runs(texts)
+    ranked = "transform(runs, r -> struct(-r.length as length, r.start as start, r.period as period))"
+    best = F.expr(f"array_min({ranked})")
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(listed, lambda r: F.concat(r, F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        (-F.col("best.length")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("(-1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+NEAR_SQL = rf"""
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS d, doc_id,
+         coalesce(regexp_extract_all(translate(text, '{UPPER}', '{UPPER.lower()}'), '[^ 	-
+]+'), [])
+           AS w FROM documents),
+sets AS (
+  SELECT d, doc_id, list_sort(list_distinct(CASE
+    WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS s
+  FROM words),
+classes AS (
+  SELECT s, min(d) AS c, min(doc_id) AS least, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
+shingles AS (SELECT c, n, unnest(s) AS shingle FROM classes),
+shared AS (
+  SELECT x.c AS a, y.c AS b, x.n AS na, y.n AS nb, count(*) AS common
+  FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.c < y.c
+  WHERE 100 * least(x.n, y.n) >= 85 * greatest(x.n, y.n) GROUP BY ALL),
+links AS (SELECT a, b FROM shared WHERE 100 * common >= 85 * (na + nb - common)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT c, c AS other FROM classes
+  UNION SELECT r.c, e.b FROM reach r JOIN edges e ON r.other = e.a),
+named AS (
+  SELECT r.c, min(k.least) AS component FROM reach r JOIN classes k ON r.other = k.c GROUP BY r.c)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id,
+       doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM (SELECT t.doc_id, t.s, CASE WHEN len(t.s) = 0 THEN t.doc_id ELSE m.component END AS component_id
+      FROM sets t LEFT JOIN classes k ON t.s = k.s LEFT JOIN named m ON k.c = m.c)"""
+
+
+@query("op13_near_copies", NEAR_SQL)
+def op13(spark, root):
+    found = superminhash.near_copies(table(spark, root, "documents"), words=3, percent=85)
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
