@@ -69,10 +69,12 @@ def _placed(rows: DataFrame, order: list[Column]) -> DataFrame:
         F.min("_row").alias("_first"), F.count("*").alias("_rows")
     )
     before = Window.partitionBy("grp").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # Group and partition are one column of the join, else both sides would be dealt by group alone.
+    at = F.struct("grp", "_part").alias("_at")
     starts = starts.select(
-        "grp", "_part", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
+        at, "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
     )
-    return placed.join(starts, ["grp", "_part"]).select(
+    return placed.withColumn("_at", at).join(starts, "_at").select(
         "grp", (F.col("_before") + F.col("_row") - F.col("_first")).alias("pos"), "node", "row"
     )
 

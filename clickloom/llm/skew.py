@@ -29,7 +29,13 @@ def join_spread(
     within a key, `hot` the list of hot keys."""
     listed = F.broadcast(hot)
     part = F.coalesce(F.pmod(F.xxhash64(F.col(spread)), F.col("_parts")), F.lit(0)).cast("int")
-    dealt = rows.join(listed, key, "left").withColumn("_part", part).drop("_parts")
+    dealt = rows.join(listed, key, "left").withColumn("_at", F.struct(key, part.alias("part")))
     last = F.coalesce(F.col("_parts"), F.lit(1)) - 1
-    copies = other.join(listed, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), last)))
-    return dealt.join(copies.drop("_parts"), [key, "_part"]).drop("_part")
+    copies = (
+        other.where(F.col(key).isNotNull())
+        .join(listed, key, "left")
+        .withColumn("_part", F.explode(F.sequence(F.lit(0), last)))
+        .withColumn("_at", F.struct(key, F.col("_part").alias("part")))
+    )
+    # Key and part are one column, else a side already dealt by the key would set the partitioning.
+    return dealt.drop("_parts").join(copies.drop(key, "_parts", "_part"), "_at").drop("_at")

@@ -68,7 +68,7 @@ def test_groups_match_all_pairs(spark):
 
 
 def test_rounds_within_a_bucket(spark):
-    """Texts that share buckets without being linked: three centres a round find all links."""
+    """Texts that share buckets without being linked: twenty centres a round find all links."""
     rng = random.Random(8)
     shared = [f"s{i}" for i in range(60)]
     rows = []
@@ -76,7 +76,7 @@ def test_rounds_within_a_bucket(spark):
         own = [f"f{family}-{i}" for i in range(9)]
         for text in texts_like(rng, shared + own, 5, 3):
             rows.append((len(rows), text))
-    check(spark, rows, bands=16, rows=1, centres=3)
+    check(spark, rows, bands=16, rows=1, centres=20)
 
 
 def test_chain(spark):
