@@ -5,12 +5,19 @@ digits, punctuation, white space) and then merges inside each piece alone, so th
 are the ids of its pieces, one after another. `TextEncoder` lets the library's BPE model encode
 each distinct piece once and looks repeated ones up; for other tokenizers, or wherever a probe
 shows a difference, it hands whole texts to `Tokenizer.encode`. Both give the same ids and spans.
+
+A piece never crosses the place before a space, unless that space stands inside white space: one
+that follows white space and is followed by white space or the end of the text. Texts without
+such a space are cut at their spaces, which is quick, and each stretch from one space to the next
+is looked up whole; only a new stretch is split by the pattern. Other texts are split by the
+pattern throughout.
 """
 
 from __future__ import annotations
 
 import json
 import os
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import regex
@@ -20,9 +27,11 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 PRINTABLE = [(33, 126), (161, 172), (174, 255)]
 
 PIECES = 1_000_000  # distinct pieces kept at a time; beyond that the table starts anew
+HELD = 1 << 25  # as for PIECES, in characters
 SLICE = 1 << 20  # pieces looked up at a time, which bounds memory on very long texts
 
-_PROBE = "It's  a\tprobe: 12 cafés,\n\n  日本 \U0001f600!! don't  x <|endoftext|>  "
+_INNER_SPACE = regex.compile(r"[\s\x1c-\x1f] (?:[\s\x1c-\x1f]|\Z)")
+_PROBE = "It's  a\tprobe: 12 cafés,\n\n  日本 \U0001f600!! don't  x <|endoftext|>  "
 
 
 def _byte_signs() -> dict[int, int]:
@@ -54,31 +63,36 @@ class _Growing:
         return self.size + len(self.new)
 
 
-class _Pieces(dict):
-    """Piece -> row number in flat tables of ids and, if asked for, character spans."""
+class _Store:
+    """Flat tables: each row has its tokens' ids and, if asked for, their character spans."""
 
     def __init__(self, model, spans: bool):
-        super().__init__()
         self.model, self.spans, self.signs = model, spans, _byte_signs()
         self.clear()
 
     def clear(self):
-        super().clear()
-        self.first, self.count = _Growing(np.int64), _Growing(np.int64)
+        self.first, self.count, self.chars = (_Growing(np.int64) for _ in range(3))
         self.ids, self.begin, self.end = _Growing(np.uint32), _Growing(np.int64), _Growing(np.int64)
+        self.held = 0
 
-    def __missing__(self, piece: str) -> int:
-        raw = piece.encode()
-        tokens = self.model.tokenize(raw.decode("latin-1").translate(self.signs))
-        row = self[piece] = len(self.first)
+    def add(self, pieces: Sequence[str]) -> int:
+        """A row for these pieces, one after another."""
+        row, at, tokens = len(self.first), 0, 0
         self.first.new.append(len(self.ids))
-        self.count.new.append(len(tokens))
-        self.ids.new += [t.id for t in tokens]
-        if self.spans:
-            self._add_spans(piece, raw, tokens)
+        for piece in pieces:
+            raw = piece.encode()
+            found = self.model.tokenize(raw.decode("latin-1").translate(self.signs))
+            self.ids.new += [t.id for t in found]
+            if self.spans:
+                self._add_spans(piece, raw, found, at)
+            at += len(piece)
+            tokens += len(found)
+        self.count.new.append(tokens)
+        self.chars.new.append(at)
+        self.held += at
         return row
 
-    def _add_spans(self, piece: str, raw: bytes, tokens) -> None:
+    def _add_spans(self, piece: str, raw: bytes, tokens, shift: int) -> None:
         # A sign of a token's value is one byte; a character belongs to every token with one of its bytes.
         char_of = range(len(raw))
         if len(raw) > len(piece):
@@ -86,12 +100,33 @@ class _Pieces(dict):
         at = 0
         for token in tokens:
             to = at + len(token.value)
-            self.begin.new.append(char_of[at])
-            self.end.new.append(char_of[to - 1] + 1)
+            self.begin.new.append(shift + char_of[at])
+            self.end.new.append(shift + char_of[to - 1] + 1)
             at = to
 
-    def arrays(self):
-        return tuple(x.array() for x in (self.first, self.count, self.ids, self.begin, self.end))
+
+class _Pieces(dict):
+    """Piece -> row."""
+
+    def __init__(self, store: _Store):
+        super().__init__()
+        self.store = store
+
+    def __missing__(self, piece: str) -> int:
+        row = self[piece] = self.store.add([piece])
+        return row
+
+
+class _Stretches(dict):
+    """What stands between two spaces -> row of it and the space before it."""
+
+    def __init__(self, store: _Store, pattern):
+        super().__init__()
+        self.store, self.pattern = store, pattern
+
+    def __missing__(self, stretch: str) -> int:
+        row = self[stretch] = self.store.add(self.pattern.findall(" " + stretch))
+        return row
 
 
 class TextEncoder:
@@ -104,15 +139,17 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.pattern = regex.compile(SPLIT)
-        self.pieces = None
+        self.store = None
         if self._byte_level(path):
-            self.pieces = _Pieces(self.tokenizer.model, spans)
+            self.store = _Store(self.tokenizer.model, spans)
+            self.pieces = _Pieces(self.store)
+            self.stretches = _Stretches(self.store, self.pattern)
             whole = self.tokenizer.encode(_PROBE, add_special_tokens=False)
             same = self.ids(_PROBE).tolist() == whole.ids
             if spans:
                 same &= [tuple(s) for s in self.encode(_PROBE)[1].tolist()] == whole.offsets
             if not same:
-                self.pieces = None
+                self.store = None
 
     @staticmethod
     def _byte_level(path: str) -> bool:
@@ -128,23 +165,36 @@ class TextEncoder:
             and not spec.get("post_processor")
         )
 
-    def _rows(self, found) -> np.ndarray:
-        if len(self.pieces) > PIECES:
+    def _room(self) -> None:
+        """Start the tables anew if they are full; rows looked up before are void then."""
+        if len(self.store.first) > PIECES or self.store.held > HELD:
+            self.store.clear()
             self.pieces.clear()
-        return np.fromiter(map(self.pieces.__getitem__, found), np.int64, len(found))
-
-    def _slices(self, text: str):
-        found = self.pattern.findall(text) if len(text) <= SLICE else None
-        if found is not None:
-            yield found
+            self.stretches.clear()
+
+    def _rows(self, text: str) -> list[int]:
+        """Rows that make up a text of moderate length."""
+        if _INNER_SPACE.search(text):
+            return list(map(self.pieces.__getitem__, self.pattern.findall(text)))
+        first, *rest = text.split(" ")
+        rows = list(map(self.pieces.__getitem__, self.pattern.findall(first)))
+        rows.extend(map(self.stretches.__getitem__, rest))
+        return rows
+
+    def _row_slices(self, text: str) -> Iterator[np.ndarray]:
+        """Rows of a text, a bounded number at a time; use each slice before the next is made."""
+        self._room()
+        if len(text) <= SLICE:
+            yield np.array(self._rows(text), np.int64)
             return
-        found = []
+        found: list[int] = []
         for match in self.pattern.finditer(text):
-            found.append(match.group())
+            found.append(self.pieces[match.group()])
             if len(found) == SLICE:
-                yield found
+                yield np.array(found, np.int64)
                 found = []
-        yield found
+                self._room()
+        yield np.array(found, np.int64)
 
     @staticmethod
     def _gather(first: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -152,35 +202,54 @@ class TextEncoder:
         ends = np.cumsum(count)
         return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - count), count)
 
+    def _ids(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows, and the number of ids of each."""
+        count = self.store.count.array()[rows]
+        return self.store.ids.array()[self._gather(self.store.first.array()[rows], count)], count
+
     def ids(self, text: str | None) -> np.ndarray:
         """Token ids of a whole text (null: none)."""
         if not text:
             return np.zeros(0, np.uint32)
-        if self.pieces is None:
+        if self.store is None:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        parts = []
-        for found in self._slices(text):
-            rows = self._rows(found)
-            first, count, ids, _, _ = self.pieces.arrays()
-            parts.append(ids[self._gather(first[rows], count[rows])])
+        parts = [self._ids(rows)[0] for rows in self._row_slices(text)]
         return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
+    def ids_of(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of several texts back to back, and the number of ids of each."""
+        if self.store is None or sum(len(t) for t in texts if t) > SLICE:
+            each = [self.ids(t) for t in texts]
+            counts = np.fromiter(map(len, each), np.int64, len(each))
+            return np.concatenate([np.zeros(0, np.uint32), *each]), counts
+        self._room()
+        rows: list[int] = []
+        ends = []
+        for text in texts:
+            if text:
+                rows += self._rows(text)
+            ends.append(len(rows))
+        found, count = self._ids(np.array(rows, np.int64))
+        before = np.concatenate([[0], np.cumsum(count)])
+        return found, np.diff(before[ends], prepend=0)
+
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of a whole text and the (begin, end) characters of each token. Needs `spans`."""
         if not text:
             return np.zeros(0, np.uint32), np.zeros((0, 2), np.int64)
-        if self.pieces is None:
+        if self.store is None:
             whole = self.tokenizer.encode(text, add_special_tokens=False)
             return np.array(whole.ids, np.uint32), np.array(whole.offsets, np.int64).reshape(-1, 2)
         ids_of, spans, at = [], [], 0
-        for found in self._slices(text):
-            rows = self._rows(found)
-            first, count, ids, begin, end = self.pieces.arrays()
-            take = self._gather(first[rows], count[rows])
-            length = np.fromiter(map(len, found), np.int64, len(found))
-            start = np.repeat(at + np.cumsum(length) - length, count[rows])
-            ids_of.append(ids[take])
-            spans.append(np.stack([start + begin[take], start + end[take]], axis=1))
+        for rows in self._row_slices(text):
+            store = self.store
+            count, length = store.count.array()[rows], store.chars.array()[rows]
+            take = self._gather(store.first.array()[rows], count)
+            start = np.repeat(at + np.cumsum(length) - length, count)
+            ids_of.append(store.ids.array()[take])
+            spans.append(
+                np.stack([start + store.begin.array()[take], start + store.end.array()[take]], axis=1)
+            )
             at += int(length.sum())
         return np.concatenate(ids_of), np.concatenate(spans)
 

@@ -30,10 +30,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm.encoding import encoder
-from clickloom.llm.files import new_folder, one_task_each, open_input, partitions_of, write_file
+from clickloom.llm.files import new_file, new_folder, one_task_each, open_input, partitions_of
 
 NO_ID = -(1 << 63)  # stands for a null document id
-READ = 1 << 20  # documents' ids read at a time, in items
+READ = 1 << 20  # items, or documents, read at a time
+TEXTS = 64  # texts encoded at a time
 
 
 def _kind(item_bytes: int) -> str:
@@ -46,26 +47,27 @@ def _name(folder: str, part: int, kind: str) -> str:
 
 def _writer(folder: str, tokenizer: str, end_id: int, item_bytes: int):
     def write(batches):
-        part, encode = TaskContext.get().partitionId(), encoder(tokenizer).ids
-        index: list[int] = []
-        tokens = 0
-
-        def ids():
-            nonlocal tokens
+        part, encode = TaskContext.get().partitionId(), encoder(tokenizer).ids_of
+        documents = tokens = 0
+        with (
+            new_file(_name(folder, part, "ids")) as items,
+            new_file(_name(folder, part, "docs")) as index,
+        ):
             for batch in batches:
-                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    found = encode(text.as_py())
-                    index.extend((NO_ID if doc is None else doc, len(found) + 1))
-                    tokens += len(found) + 1
-                    yield np.append(found, np.uint32(end_id)).astype(_kind(item_bytes)).tobytes()
-
-        write_file(_name(folder, part, "ids"), ids())
-        write_file(_name(folder, part, "docs"), [np.array(index, "<i8").tobytes()])
-        if index:
+                keys = batch.column(0).fill_null(NO_ID)
+                for at in range(0, batch.num_rows, TEXTS):
+                    ids, counts = encode(batch.column(1).slice(at, TEXTS).to_pylist())
+                    ended = np.insert(ids, np.cumsum(counts), end_id)
+                    items.write(ended.astype(_kind(item_bytes)).tobytes())
+                    pairs = np.stack([keys.slice(at, TEXTS).to_numpy(), counts + 1], axis=1)
+                    index.write(pairs.astype("<i8").tobytes())
+                    documents += len(counts)
+                    tokens += len(ended)
+        if documents:
             yield pa.RecordBatch.from_pydict(
                 {
                     "part": pa.array([part], pa.int32()),
-                    "documents": pa.array([len(index) // 2], pa.int64()),
+                    "documents": pa.array([documents], pa.int64()),
                     "tokens": pa.array([tokens], pa.int64()),
                 }
             )
@@ -73,15 +75,27 @@ def _writer(folder: str, tokenizer: str, end_id: int, item_bytes: int):
     return write
 
 
+def _pieces(file, items: int, kind: str):
+    """The whole file as arrays of at most `READ` rows of `items` values."""
+    step = READ * items * 8
+    for at in range(0, file.size(), step):
+        yield np.frombuffer(file.read_at(min(step, file.size() - at), at), kind).reshape(-1, items)
+
+
 def _offsets(folder: str):
     def write(frames):
         for frame in frames:
             for row in frame.itertuples():
-                with open_input(_name(folder, row.part, "docs")) as file:
-                    counts = np.frombuffer(file.read(), "<i8")[1::2]
-                ends = np.cumsum(counts, dtype=np.int64) + row.base
-                off = np.concatenate([[row.base], ends]).astype("<u8")
-                write_file(_name(folder, row.part, "off"), [off.tobytes()])
+                with (
+                    open_input(_name(folder, row.part, "docs")) as docs,
+                    new_file(_name(folder, row.part, "off")) as out,
+                ):
+                    out.write(np.array([row.base], "<u8").tobytes())
+                    at = row.base
+                    for pairs in _pieces(docs, 2, "<i8"):
+                        ends = np.cumsum(pairs[:, 1]) + at
+                        out.write(ends.astype("<u8").tobytes())
+                        at = int(ends[-1])
             yield frame
 
     return write
@@ -130,61 +144,49 @@ def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _documents(folder: str, row):
-    """(id, start, ids) of each document of a part; the ids are a view of the mapped file."""
+    """(ids of documents, starts, ends, items from the first start to the last end) of stretches
+    of a part; the items are a view of the mapped file."""
     kind = _kind(row.item_bytes)
     with (
         open_input(_name(folder, row.part, "docs")) as docs,
         open_input(_name(folder, row.part, "off")) as off,
         open_input(_name(folder, row.part, "ids")) as items,
     ):
-        keys = np.frombuffer(docs.read(), "<i8")[::2]
-        bounds = np.frombuffer(off.read(), "<u8").astype(np.int64)
-        first = 0
-        while first < len(keys):
-            last = int(np.searchsorted(bounds, bounds[first] + READ, "right")) - 1
-            last = min(max(last, first + 1), len(keys))
-            at, to = int(bounds[first]), int(bounds[last])
-            raw = items.read_at((to - at) * row.item_bytes, (at - row.base) * row.item_bytes)
-            ids = np.frombuffer(raw, kind)
-            for i in range(first, last):
-                yield int(keys[i]), int(bounds[i]), ids[bounds[i] - at : bounds[i + 1] - at]
-            first = last
+        done = 0
+        for pairs in _pieces(docs, 2, "<i8"):
+            raw = off.read_at(8 * (len(pairs) + 1), 8 * done)
+            bounds = np.frombuffer(raw, "<u8").astype(np.int64)
+            done += len(pairs)
+            first = 0
+            while first < len(pairs):
+                last = int(np.searchsorted(bounds, bounds[first] + READ, "right")) - 1
+                last = min(max(last, first + 1), len(pairs))
+                at, to = int(bounds[first]), int(bounds[last])
+                raw = items.read_at((to - at) * row.item_bytes, (at - row.base) * row.item_bytes)
+                starts, ends = bounds[first:last], bounds[first + 1 : last + 1]
+                yield pairs[first:last, 0], starts, ends, np.frombuffer(raw, kind)
+                first = last
 
 
 def _reader(folder: str, with_ids: bool):
-    def read(frames):
-        for frame in frames:
-            for row in frame.itertuples():
-                out: list[tuple] = []
-                held = 0
-                for doc, start, ids in _documents(folder, row):
-                    wide = ids.astype("<u4")
-                    out.append(
-                        (
-                            None if doc == NO_ID else doc,
-                            start,
-                            len(ids),
-                            zlib.crc32(wide.tobytes()),
-                            wide.astype(np.int64) if with_ids else None,
-                        )
-                    )
-                    held += len(ids) if with_ids else 1
-                    if held >= READ or len(out) >= 10_000:
-                        yield _batch(out, with_ids)
-                        out, held = [], 0
-                if out:
-                    yield _batch(out, with_ids)
-
-    return lambda batches: read(b.to_pandas() for b in batches)
-
-
-def _batch(rows: list[tuple], with_ids: bool) -> pa.RecordBatch:
-    doc, start, count, crc, ids = zip(*rows)
-    columns = {"doc_id": doc, "start": start, "n_tokens": count, "ids_crc32": crc}
-    arrays = {name: pa.array(values, pa.int64()) for name, values in columns.items()}
-    if with_ids:
-        arrays["ids"] = pa.array(ids, pa.list_(pa.int64()))
-    return pa.RecordBatch.from_pydict(arrays)
+    def read(batches):
+        for row in (r for b in batches for r in b.to_pandas().itertuples()):
+            for keys, starts, ends, ids in _documents(folder, row):
+                wide, at = ids.astype("<u4"), int(starts[0])
+                bytes_, cuts = memoryview(wide).cast("B"), ((ends - at) * 4).tolist()
+                crcs = [zlib.crc32(bytes_[a:b]) for a, b in zip([0, *cuts], cuts)]
+                columns = {
+                    "doc_id": pa.array(keys, pa.int64(), mask=keys == NO_ID),
+                    "start": pa.array(starts, pa.int64()),
+                    "n_tokens": pa.array(ends - starts, pa.int64()),
+                    "ids_crc32": pa.array(crcs, pa.int64()),
+                }
+                if with_ids:
+                    offsets = pa.array(np.append(starts, ends[-1]) - at, pa.int32())
+                    columns["ids"] = pa.ListArray.from_arrays(offsets, pa.array(wide, pa.int64()))
+                yield pa.RecordBatch.from_pydict(columns)
+
+    return read
 
 
 def read_token_files(spark: SparkSession, folder: str, *, with_ids: bool = False) -> DataFrame:

@@ -1,3 +1,4 @@
+import itertools
 import random
 import zlib
 
@@ -32,13 +33,23 @@ def tokenizer():
 
 def test_encoder_equals_library(tokenizer, monkeypatch):
     ours = encoding.TextEncoder(byte_bpe())
-    assert ours.pieces is not None
+    assert ours.store is not None
     rng = random.Random(3)
     signs = list("ab 1.'\n\t  é日😀s<|>!_ẞ½٣") + ["  ", "'re", " 's", "\r\n"]
     texts = [t or "" for t in TEXTS]
     texts += ["".join(rng.choice(signs) for _ in range(rng.randint(0, 30))) for _ in range(800)]
+    spaces = [" ", "\n", "\t", "\u00a0", "\u2003", "\x1c", "\x85"]
+    for length in range(1, 5):  # all runs of white space, inside a text and at its ends
+        for run in itertools.product(spaces, repeat=length):
+            texts += ["".join(["a", *run, "b"]), "".join(run), "".join(["c", *run])]
+            if length < 4:
+                texts.append("".join([*run, "d 1"]))
     for limit in (encoding.PIECES, 20):  # a small table is emptied again and again
         monkeypatch.setattr(encoding, "PIECES", limit)
+        ids, counts = ours.ids_of(texts[:200])
+        cuts = np.split(ids, np.cumsum(counts)[:-1])
+        for text, cut in zip(texts, cuts):
+            assert cut.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
         for text in texts:
             whole = tokenizer.encode(text, add_special_tokens=False)
             ids, spans = ours.encode(text)
@@ -60,7 +71,7 @@ def test_other_tokenizers_take_the_whole_text():
 
     path = public_tokenizers.path("word_bpe_49k.json")
     ours = encoding.TextEncoder(path)
-    assert ours.pieces is None
+    assert ours.store is None
     text = "Some Words\nin two lines"
     assert ours.ids(text).tolist() == ours.tokenizer.encode(text, add_special_tokens=False).ids
 
