@@ -9,8 +9,8 @@ shows a difference, it hands whole texts to `Tokenizer.encode`. Both give the sa
 A piece never crosses the place before a space, unless that space stands inside white space: one
 that follows white space and is followed by white space or the end of the text. Texts without
 such a space are cut at their spaces, which is quick, and each stretch from one space to the next
-is looked up whole; only a new stretch is split by the pattern. Other texts are split by the
-pattern throughout.
+is looked up whole. New stretches of a batch are encoded by one call of the library on all of them,
+joined by spaces. Other texts are split by the pattern throughout.
 """
 
 from __future__ import annotations
@@ -26,11 +26,10 @@ import regex
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PRINTABLE = [(33, 126), (161, 172), (174, 255)]
 
-PIECES = 1_000_000  # distinct pieces kept at a time; beyond that the table starts anew
+PIECES = 1_500_000  # distinct stretches kept at a time; beyond that the table starts anew
 HELD = 1 << 25  # as for PIECES, in characters
 SLICE = 1 << 20  # pieces looked up at a time, which bounds memory on very long texts
 
-_INNER_SPACE = regex.compile(r"[\s\x1c-\x1f] (?:[\s\x1c-\x1f]|\Z)")
 _PROBE = "It's  a\tprobe: 12 cafés,\n\n  日本 \U0001f600!! don't  x <|endoftext|>  "
 
 
@@ -59,74 +58,124 @@ class _Growing:
             self.size, self.new = to, []
         return self.data[: self.size]
 
+    def extend(self, values) -> None:
+        size = len(self.array())
+        if size + len(values) > len(self.data):
+            self.data = np.resize(self.data, max(size + len(values), 2 * len(self.data)))
+        self.data[size : size + len(values)] = values
+        self.size = size + len(values)
+
     def __len__(self) -> int:
         return self.size + len(self.new)
 
 
-class _Store:
-    """Flat tables: each row has its tokens' ids and, if asked for, their character spans."""
+class _Stretches(dict):
+    """Key -> row of flat tables with the tokens' ids and, if asked for, character spans.
+
+    The key `word` stands for a space and the word; the key ` text` for the text without a space
+    before it, as texts begin. Words hold no spaces, so the two kinds do not meet.
+    """
 
-    def __init__(self, model, spans: bool):
-        self.model, self.spans, self.signs = model, spans, _byte_signs()
+    def __init__(self, tokenizer, pattern, spans: bool):
+        super().__init__()
+        self.tokenizer, self.model, self.pattern = tokenizer, tokenizer.model, pattern
+        self.spans, self.signs = spans, _byte_signs()
+        vocabulary = tokenizer.get_vocab()
+        self.spaced = np.zeros(max(vocabulary.values(), default=0) + 1, np.bool_)
+        self.spaced[[i for t, i in vocabulary.items() if t.startswith(chr(self.signs[32]))]] = True
         self.clear()
 
     def clear(self):
+        super().clear()
         self.first, self.count, self.chars = (_Growing(np.int64) for _ in range(3))
+        self.opens, self.closes = _Growing(np.bool_), _Growing(np.bool_)
         self.ids, self.begin, self.end = _Growing(np.uint32), _Growing(np.int64), _Growing(np.int64)
         self.held = 0
 
-    def add(self, pieces: Sequence[str]) -> int:
-        """A row for these pieces, one after another."""
-        row, at, tokens = len(self.first), 0, 0
+    def _add(self, key: str, length: int, opens: bool, closes: bool, ids: list, spans: list) -> None:
+        self[key] = len(self.first)
         self.first.new.append(len(self.ids))
-        for piece in pieces:
+        self.count.new.append(len(ids))
+        self.chars.new.append(length)
+        self.opens.new.append(opens)
+        self.closes.new.append(closes)
+        self.ids.new += ids
+        if self.spans:
+            self.begin.new += [a for a, _ in spans]
+            self.end.new += [b for _, b in spans]
+        self.held += length
+
+    def learn(self, keys: list[str]) -> None:
+        """Add the keys that are new."""
+        joined = []
+        for key in dict.fromkeys(keys):
+            if key in self:
+                continue
+            if key and not (key[0].isspace() or key[-1].isspace()):
+                joined.append(key)
+                continue
+            # White space at an end: opens and closes tell whether a neighbour may matter.
+            spaced = not key.startswith(" ")
+            text = " " + key if spaced else key[1:]
+            opens = spaced and (not key or key[0].isspace())
+            closes = bool(text) and text[-1].isspace()
+            self._add(key, len(text), opens, closes, *self._tokens(text))
+        if joined:
+            self._learn_joined(joined)
+
+    def _learn_joined(self, words: list[str]) -> None:
+        """Words without white space at their ends: joined by spaces, each is cut out where a
+        token begins with a space, as no other token does."""
+        text, row, count = " " + " ".join(words), len(self.first), len(words)
+        lengths = np.fromiter(map(len, words), np.int64, count) + 1
+        if self.spans:
+            whole = self.tokenizer.encode(text, add_special_tokens=False)
+        else:
+            whole = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+        ids = np.array(whole.ids, np.uint32)
+        starts = np.flatnonzero(self.spaced[ids])
+        if len(starts) != count:
+            raise ValueError("a token holds a space inside")
+        counts = np.diff(starts, append=len(ids))
+        if self.spans:
+            begins = np.repeat(np.cumsum(lengths) - lengths, counts)
+            offsets = np.array(whole.offsets, np.int64)
+            self.begin.extend(offsets[:, 0] - begins)
+            self.end.extend(offsets[:, 1] - begins)
+        self.first.extend(starts + len(self.ids))
+        self.ids.extend(ids)
+        self.count.extend(counts)
+        self.chars.extend(lengths)
+        self.opens.extend(np.zeros(count, np.bool_))
+        self.closes.extend(np.zeros(count, np.bool_))
+        self.update(zip(words, range(row, row + count)))
+        self.held += len(text)
+
+    def _tokens(self, text: str) -> tuple[list, list]:
+        """Ids and spans of a text, piece by piece."""
+        ids, spans, shift = [], [], 0
+        for piece in self.pattern.findall(text):
             raw = piece.encode()
-            found = self.model.tokenize(raw.decode("latin-1").translate(self.signs))
-            self.ids.new += [t.id for t in found]
-            if self.spans:
-                self._add_spans(piece, raw, found, at)
-            at += len(piece)
-            tokens += len(found)
-        self.count.new.append(tokens)
-        self.chars.new.append(at)
-        self.held += at
-        return row
-
-    def _add_spans(self, piece: str, raw: bytes, tokens, shift: int) -> None:
-        # A sign of a token's value is one byte; a character belongs to every token with one of its bytes.
-        char_of = range(len(raw))
-        if len(raw) > len(piece):
+            # A sign of a token's value is one byte; a character belongs to every token with one
+            # of its bytes.
             char_of = [i for i, c in enumerate(piece) for _ in c.encode()]
-        at = 0
-        for token in tokens:
-            to = at + len(token.value)
-            self.begin.new.append(shift + char_of[at])
-            self.end.new.append(shift + char_of[to - 1] + 1)
-            at = to
-
-
-class _Pieces(dict):
-    """Piece -> row."""
-
-    def __init__(self, store: _Store):
-        super().__init__()
-        self.store = store
-
-    def __missing__(self, piece: str) -> int:
-        row = self[piece] = self.store.add([piece])
-        return row
-
-
-class _Stretches(dict):
-    """What stands between two spaces -> row of it and the space before it."""
-
-    def __init__(self, store: _Store, pattern):
-        super().__init__()
-        self.store, self.pattern = store, pattern
-
-    def __missing__(self, stretch: str) -> int:
-        row = self[stretch] = self.store.add(self.pattern.findall(" " + stretch))
-        return row
+            at = 0
+            for token in self.model.tokenize(raw.decode("latin-1").translate(self.signs)):
+                to = at + len(token.value)
+                ids.append(token.id)
+                spans.append((shift + char_of[at], shift + char_of[to - 1] + 1))
+                at = to
+            shift += len(piece)
+        return ids, spans
+
+    def rows(self, keys: list[str]) -> list[int]:
+        found = list(map(self.get, keys))
+        if None in found:
+            new = [at for at, row in enumerate(found) if row is None]
+            self.learn([keys[at] for at in new])
+            for at in new:
+                found[at] = self[keys[at]]
+        return found
 
 
 class TextEncoder:
@@ -141,9 +190,7 @@ class TextEncoder:
         self.pattern = regex.compile(SPLIT)
         self.store = None
         if self._byte_level(path):
-            self.store = _Store(self.tokenizer.model, spans)
-            self.pieces = _Pieces(self.store)
-            self.stretches = _Stretches(self.store, self.pattern)
+            self.store = _Stretches(self.tokenizer, self.pattern, spans)
             whole = self.tokenizer.encode(_PROBE, add_special_tokens=False)
             same = self.ids(_PROBE).tolist() == whole.ids
             if spans:
@@ -166,35 +213,53 @@ class TextEncoder:
         )
 
     def _room(self) -> None:
-        """Start the tables anew if they are full; rows looked up before are void then."""
-        if len(self.store.first) > PIECES or self.store.held > HELD:
+        """Start the table anew if it is full; rows looked up before are void then."""
+        if len(self.store) > PIECES or self.store.held > HELD:
             self.store.clear()
-            self.pieces.clear()
-            self.stretches.clear()
-
-    def _rows(self, text: str) -> list[int]:
-        """Rows that make up a text of moderate length."""
-        if _INNER_SPACE.search(text):
-            return list(map(self.pieces.__getitem__, self.pattern.findall(text)))
-        first, *rest = text.split(" ")
-        rows = list(map(self.pieces.__getitem__, self.pattern.findall(first)))
-        rows.extend(map(self.stretches.__getitem__, rest))
-        return rows
+
+    def _split(self, text: str) -> list[str]:
+        """Keys of the pieces of a text, by the pattern."""
+        return [" " + piece for piece in self.pattern.findall(text)]
+
+    def _rows(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Rows that make up texts of moderate length, and where each text's rows end."""
+        keys: list[str] = []
+        ends = []
+        for text in texts:
+            if text:
+                words = text.split(" ")
+                words[0] = " " + words[0]
+                keys += words
+            ends.append(len(keys))
+        rows = np.array(self.store.rows(keys), np.int64)
+        closes, opens = self.store.closes.array()[rows], self.store.opens.array()[rows]
+        inner = np.flatnonzero(closes[:-1] & opens[1:])
+        if not len(inner):
+            return rows, np.array(ends, np.int64)
+        marked = set(np.searchsorted(ends, inner, "right").tolist())
+        parts, at = [], 0
+        for i, end in enumerate(ends):
+            if i in marked:
+                parts.append(np.array(self.store.rows(self._split(texts[i])), np.int64))
+            else:
+                parts.append(rows[at:end])
+            at = end
+        return np.concatenate(parts), np.cumsum([len(p) for p in parts])
 
     def _row_slices(self, text: str) -> Iterator[np.ndarray]:
         """Rows of a text, a bounded number at a time; use each slice before the next is made."""
         self._room()
         if len(text) <= SLICE:
-            yield np.array(self._rows(text), np.int64)
+            yield self._rows([text])[0]
             return
-        found: list[int] = []
+        found: list[str] = []
         for match in self.pattern.finditer(text):
-            found.append(self.pieces[match.group()])
+            found.append(" " + match.group())
             if len(found) == SLICE:
-                yield np.array(found, np.int64)
+                yield np.array(self.store.rows(found), np.int64)
                 found = []
                 self._room()
-        yield np.array(found, np.int64)
+        yield np.array(self.store.rows(found), np.int64)
 
     @staticmethod
     def _gather(first: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -223,13 +288,8 @@ class TextEncoder:
             counts = np.fromiter(map(len, each), np.int64, len(each))
             return np.concatenate([np.zeros(0, np.uint32), *each]), counts
         self._room()
-        rows: list[int] = []
-        ends = []
-        for text in texts:
-            if text:
-                rows += self._rows(text)
-            ends.append(len(rows))
-        found, count = self._ids(np.array(rows, np.int64))
+        rows, ends = self._rows(texts)
+        found, count = self._ids(rows)
         before = np.concatenate([[0], np.cumsum(count)])
         return found, np.diff(before[ends], prepend=0)
 
