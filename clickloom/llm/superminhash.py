@@ -14,16 +14,24 @@ from a table of Fisher-Yates shuffles, turned by an amount of the element's own.
 Banding. Places form bands; texts that agree on a band share a bucket. With 32 bands of 6 a link
 of similarity exactly 0.85 is in no bucket with a chance of 3 in ten million, a closer one less.
 
-Verification is exact, on whole sets. Equal sets are one class from the start. In each bucket all
-classes are compared with the smallest one, which joins most groups of copies; after that only
-pairs from different components matter: the members outside of a bucket's largest component, 64 a
-round, are compared with all members of other components, until none is left. So work in a bucket
-is its size times the members that are not joined yet, never all its pairs, and no pair is left
-out. Only buckets that hold 10^5 texts of little likeness would need very many rounds.
+Verification is exact, on whole sets. Equal sets are one class from the start, and buckets with
+the same members are one bucket. Work goes in rounds: in each bucket some classes, the centres, are
+compared with all members of other components, and leave the bucket; links join components; a
+bucket whose members are one component is done. Centres come from outside the bucket's largest
+component, those that share most buckets first (the text that others were copied from), one a
+bucket in the first round, then 64. So work in a bucket is its size times the members
+that links have not joined yet, and no pair is left out. Only buckets that hold 10^5 texts of
+little likeness would need very many rounds.
+
+Pairs that cannot be links are told inside the join that would make them. Shingles fall into 64
+parts by hash; of each class the shingles of every part are counted, less those that no other class
+has. Two sets share at most the smaller count of each part, so the sum of these bounds their
+similarity. In a large group of texts that are nearly close enough, almost no pair comes further.
 
 A text is hashed once for its signature, and once more for its set if it shares a bucket; texts
-are found again by MD5. Rows of hot classes, buckets, nodes and components are spread over tasks
-(`skew`). Everything that is collected is one number a round.
+are found again by MD5, and a bitmap of fixed size keeps most others out of that shuffle. Rows of
+hot classes, buckets, nodes and components are spread over tasks (`skew`). Everything that is
+collected is one number a round.
 
 Cases: a null or empty text, or one without words, has no shingles, is linked with nothing and is
 its own component; repeated rows are rows of their own; null ids never name a component: one
@@ -47,6 +55,7 @@ BANDS = 32
 ROWS = 6  # places in a band
 TURNS = 1024  # shuffles in the table
 CENTRES = 64  # members of a bucket that are compared with the rest in a round
+PARTS = 64  # parts of the shingles in which sets are counted
 CACHE = 1_000_000  # distinct words kept by a worker; beyond that the table starts anew
 ELEMENTS = 1 << 17  # elements, and
 TEXTS = 256  # texts that make offers at once
@@ -194,9 +203,14 @@ def _sets(words: int):
             for i in range(batch.num_rows):
                 found = shingles.of(texts[i].as_py()).view(np.int64)
                 ends = pa.array([0, len(found)], pa.int32())
+                sizes = np.bincount(found % PARTS, minlength=PARTS)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, 1), pa.ListArray.from_arrays(ends, pa.array(found))],
-                    ["node", "shingles"],
+                    [
+                        batch.column(0).slice(i, 1),
+                        pa.ListArray.from_arrays(ends, pa.array(found)),
+                        pa.array([sizes], pa.list_(pa.int64())),
+                    ],
+                    ["node", "shingles", "sizes"],
                 )
 
     return find
@@ -222,34 +236,79 @@ def _classes(signed: DataFrame) -> DataFrame:
 
 
 def _members(classes: DataFrame) -> DataFrame:
-    """(bucket, node, n, centre): the buckets with two classes or more; centre is the smallest."""
+    """(bucket, node, n, weight): buckets with two classes or more, each set of members once;
+    weight is the number of members of all the node's buckets."""
     keys = classes.select("node", "n", F.explode("bands").alias("bucket"))
-    shared = materialize(
+    shared = (
         keys.groupBy("bucket")
-        .agg(F.min("node").alias("centre"), F.count("*").alias("count"))
-        .where("count > 1"),
-        "buckets",
+        .agg(
+            F.count("*").alias("count"),
+            F.bit_xor(F.xxhash64("node")).alias("one"),
+            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("two"),
+        )
+        .where("count > 1")
+        .groupBy("count", "one", "two")
+        .agg(F.min("bucket").alias("bucket"))
     )
+    shared = materialize(shared.select("bucket", "count"), "buckets")
     total = shared.agg(F.sum("count")).first()[0] or 0
-    hot = hot_keys(shared, "bucket", total)
-    return materialize(
-        join_spread(keys, shared.select("bucket", "centre"), "bucket", hot, "node"), "members"
+    members = materialize(
+        join_spread(keys, shared, "bucket", hot_keys(shared, "bucket", total), "node"), "members"
     )
+    weights = members.groupBy("node").agg(F.sum("count").alias("weight"))
+    return materialize(members.join(weights, "node").drop("count"), "members")
+
+
+BIT = "pmod(shiftright(_hash, 12), 32768)"
 
 
 def _needed_sets(docs, text_col, classes, members, words) -> DataFrame:
-    """(node, shingles) of the classes that share a bucket. Copies of a text are reduced to one in
-    each task before any is shuffled."""
+    """(node, shingles) of the classes that share a bucket. Texts whose bit is not in a bitmap of
+    the wanted keys stay out (8 MB at most, whatever the data), and copies of a text are reduced to
+    one in each task before any is shuffled."""
+    wanted = materialize(
+        classes.select("node", "text_key").join(members.select("node").distinct(), "node"), "wanted"
+    )
+    slots = min(2048, 1 + wanted.count() // 1024)
+    slot = F.pmod(F.xxhash64("text_key"), F.lit(slots)).alias("_slot")
+    bitmaps = (
+        wanted.select(F.xxhash64("text_key").alias("_hash"), slot)
+        .groupBy("_slot")
+        .agg(F.expr(f"bitmap_construct_agg({BIT}) AS _bits"))
+    )
     text = F.col(text_col).cast("string")
+    byte = f"conv(hex(substring(_bits, cast({BIT} div 8 as int) + 1, 1)), 16, 10)"
+    known = f"shiftright(cast({byte} as int), cast({BIT} % 8 as int)) & 1 = 1"
     one = (
         docs.select(F.md5(text).alias("text_key"), text.alias("text"))
-        .where("text is not null")
+        .where("text_key is not null")
+        .select("*", F.xxhash64("text_key").alias("_hash"), slot)
+        .join(F.broadcast(bitmaps), "_slot")
+        .where(known)
         .groupBy("text_key")
         .agg(F.first("text").alias("text"))
     )
-    wanted = classes.select("node", "text_key").join(members.select("node").distinct(), "node")
     found = one.join(wanted, "text_key").select("node", "text")
-    return materialize(found.mapInArrow(_sets(words), "node long, shingles array<long>"), "sets")
+    schema = "node long, shingles array<long>, sizes array<long>"
+    return materialize(found.mapInArrow(_sets(words), schema), "sets")
+
+
+def _profiles(sets: DataFrame) -> DataFrame:
+    """(node, parts): per part, the number of shingles that other classes have too."""
+    shingle = sets.select("node", F.explode("shingles").alias("shingle"))
+    alone = (
+        shingle.groupBy("shingle")
+        .agg(F.count("*").alias("count"), F.min("node").alias("node"))
+        .where("count = 1")
+        .groupBy("node", F.pmod("shingle", F.lit(PARTS)).alias("part"))
+        .agg(F.count("*").alias("count"))
+        .groupBy("node")
+        .agg(F.map_from_entries(F.collect_list(F.struct("part", "count"))).alias("alone"))
+    )
+    lost = "coalesce(alone[cast(p as bigint)], 0)"
+    parts = F.expr(f"transform(sizes, (n, p) -> cast(n - {lost} as int))")
+    found = sets.select("node", "sizes").join(alone, "node", "left")
+    return materialize(found.select("node", parts.alias("parts")), "profiles")
 
 
 def _alike(small: Column, large: Column, percent: int) -> Column:
@@ -257,6 +316,14 @@ def _alike(small: Column, large: Column, percent: int) -> Column:
     return F.lit(100) * F.least(small, large) >= F.lit(percent) * F.greatest(small, large)
 
 
+def _may_link(percent: int) -> Column:
+    """Whether the counts per part leave room for a link of n and other_n shingles."""
+    both = F.expr(
+        "aggregate(zip_with(parts, other_parts, (x, y) -> least(x, y)), 0, (at, x) -> at + x)"
+    )
+    return F.lit(100) * both >= F.lit(percent) * (F.col("n") + F.col("other_n") - both)
+
+
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are close enough."""
     total = pairs.count()
@@ -270,19 +337,20 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.where(F.lit(100) * both >= F.lit(percent) * any_).select("a", "b")
 
 
-def _open_members(members: DataFrame, links: DataFrame) -> DataFrame:
+def _open_members(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Members of the buckets that hold several components: with comp, and largest, the component
     with most members in the bucket."""
-    roots = components(links)
     labelled = members.join(roots, "node", "left").select(
-        "bucket", "node", "n", F.coalesce("root", "node").alias("comp")
+        *members.columns, F.coalesce("root", "node").alias("comp")
     )
     labelled = materialize(labelled, "labelled")
-    shares = labelled.groupBy("bucket", "comp").agg(F.count("*").alias("share"))
+    shares = labelled.groupBy("bucket", "comp").agg(
+        F.count("*").alias("share"), F.max("weight").alias("weight")
+    )
     mixed = (
         shares.groupBy("bucket")
         .agg(
-            F.max_by("comp", F.struct("share", "comp")).alias("largest"),
+            F.max_by("comp", F.struct("share", -F.col("weight"), "comp")).alias("largest"),
             F.sum("share").alias("count"),
             F.count("*").alias("comps"),
         )
@@ -295,53 +363,55 @@ def _open_members(members: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def _all_links(members: DataFrame, sets: DataFrame, percent: int, centres: int) -> DataFrame:
-    """Links that connect all classes which share a bucket and are close enough."""
-    sizes = members.select(F.col("node").alias("centre"), F.col("n").alias("centre_n")).distinct()
-    total = members.count()
-    uses = members.groupBy("centre").agg(F.count("*").alias("count"))
-    first = join_spread(members, sizes, "centre", hot_keys(uses, "centre", total), "node")
-    pairs = materialize(
-        first.where(F.col("node") > F.col("centre"))
-        .where(_alike(F.col("n"), F.col("centre_n"), percent))
-        .select(F.col("centre").alias("a"), F.col("node").alias("b"))
-        .distinct(),
-        "pairs",
-    )
-    links = materialize(_links(pairs, sets, percent), "links")
+RANK = """row_number() over
+(partition by bucket order by comp = largest, weight desc, xxhash64(node), node)"""
+
+
+def _linked_classes(members: DataFrame, sets: DataFrame, percent: int, centres: int) -> DataFrame:
+    """(node, root) of the linked classes: links connect all that share a bucket and are close
+    enough."""
+    profiles = _profiles(sets)
+    spark = members.sparkSession
+    links = pairs = spark.createDataFrame([], "a long, b long")
+    roots = spark.createDataFrame([], "node long, root long")
+    turn = 1  # the first round joins most groups; then as many centres as are allowed
     while True:
-        open_ = _open_members(members, links)
+        open_ = _open_members(members, roots)
         total = open_.count()
         if not total:
-            return links
-        outside = open_.where("comp <> largest")
-        waiting = outside.groupBy("bucket").agg(F.count("*").alias("waiting"))
-        # At most `centres` a bucket leave each map task, so no task receives a hot bucket whole.
-        rank = F.expr("row_number() over (partition by bucket order by xxhash64(node), node)")
-        chosen = materialize(outside.withColumn("rank", rank).where(F.col("rank") <= centres), "centres")
+            return roots
+        # So many of a bucket at most leave each map task: no task receives a hot bucket whole.
+        chosen = materialize(
+            open_.withColumn("rank", F.expr(RANK)).where(F.col("rank") <= turn), "centres"
+        )
+        turn = centres
         counts = open_.groupBy("bucket").agg(F.count("*").alias("count"))
         hot = hot_keys(counts, "bucket", total)
-        centre = chosen.select(
+        centre = chosen.join(profiles, "node").select(
             "bucket",
+            F.col("parts").alias("other_parts"),
             F.col("node").alias("other"),
             F.col("n").alias("other_n"),
             F.col("comp").alias("other_comp"),
         )
         new = (
-            join_spread(open_, centre, "bucket", hot, "node")
+            join_spread(open_.join(profiles, "node"), centre, "bucket", hot, "node")
             .where("comp <> other_comp")
             .where(_alike(F.col("n"), F.col("other_n"), percent))
+            .where(_may_link(percent))
             .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
             .distinct()
         )
         new = materialize(new.join(pairs, ["a", "b"], "left_anti"), "pairs")
-        links = materialize(links.unionByName(_links(new, sets, percent)), "links")
+        fresh = materialize(_links(new, sets, percent), "links")
+        if fresh.limit(1).count():
+            links = materialize(links.unionByName(fresh), "links")
+            roots = materialize(components(links), "roots")
         pairs = materialize(pairs.unionByName(new), "pairs")
-        unfinished = waiting.where(F.col("waiting") > centres).select("bucket")
         members = materialize(
-            open_.select("bucket", "node", "n")
-            .join(unfinished, "bucket")
-            .join(chosen.select("bucket", "node"), ["bucket", "node"], "left_anti"),
+            open_.select(*members.columns).join(
+                chosen.select("bucket", "node"), ["bucket", "node"], "left_anti"
+            ),
             "members",
         )
 
@@ -362,9 +432,9 @@ def near_copies(
     classes = _classes(signed)
     members = _members(classes)
     sets = _needed_sets(docs, text_col, classes, members, words)
-    links = _all_links(members, sets, percent, centres)
+    roots = _linked_classes(members, sets, percent, centres)
 
-    linked = materialize(classes.join(components(links), "node").select("digest", "root", "least"), "linked")
+    linked = materialize(classes.join(roots, "node").select("digest", "root", "least"), "linked")
     names = linked.groupBy("root").agg(
         F.min("least").alias("component"), F.count("*").alias("count")
     )
