@@ -19,7 +19,7 @@ the same members are one bucket. Work goes in rounds: in each bucket some classe
 compared with all members of other components, and leave the bucket; links join components; a
 bucket whose members are one component is done. Centres come from outside the bucket's largest
 component, those that share most buckets first (the text that others were copied from), one a
-bucket in the first round, then 64. So work in a bucket is its size times the members
+bucket in the first round, then 512. So work in a bucket is its size times the members
 that links have not joined yet, and no pair is left out. Only buckets that hold 10^5 texts of
 little likeness would need very many rounds.
 
@@ -54,7 +54,7 @@ SEED = 42
 BANDS = 32
 ROWS = 6  # places in a band
 TURNS = 1024  # shuffles in the table
-CENTRES = 64  # members of a bucket that are compared with the rest in a round
+CENTRES = 512  # members of a bucket that are compared with the rest in a round
 PARTS = 64  # parts of the shingles in which sets are counted
 CACHE = 1_000_000  # distinct words kept by a worker; beyond that the table starts anew
 ELEMENTS = 1 << 17  # elements, and
