@@ -63,15 +63,18 @@ def write_day_files(events: DataFrame, path: str, parts: int = 16) -> None:
     """Flat files ``{day}.{task}.parquet`` without the column ``day``, up to ``parts`` a day.
 
     A task streams its rows, ordered by day, into one file at a time, so a hot day spreads
-    over tasks and none holds it.
+    over tasks and none holds it. Files are written as drafts, which readers pass over, and get
+    their names when the task has written all of them: an attempt that fails leaves no day file,
+    and one that is repeated replaces its files by equal ones.
     """
     salt = F.pmod(F.xxhash64(*events.columns), F.lit(parts))
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where, name = fs.FileSystem.from_uri(path)
         where.create_dir(name, recursive=True)
-        task = TaskContext.get().partitionId()
-        out, current = None, None
+        context = TaskContext.get()
+        task, attempt = context.partitionId(), context.taskAttemptId()
+        out, current, drafts = None, None, []
         for batch in batches:
             rows = pa.Table.from_batches([batch])
             for day in rows["day"].unique().to_pylist():  # in order, as the rows are
@@ -80,10 +83,14 @@ def write_day_files(events: DataFrame, path: str, parts: int = 16) -> None:
                     if out is not None:
                         out.close()
                     file, current = f"{name}/{day}.{task:05d}.parquet", day
-                    out = parquet.ParquetWriter(file, part.schema, filesystem=where)
+                    draft = f"{name}/_draft-{day}-{task:05d}-{attempt}"
+                    out = parquet.ParquetWriter(draft, part.schema, filesystem=where)
+                    drafts.append((draft, file))
                 out.write_table(part)
         if out is not None:
             out.close()
+        for draft, file in drafts:
+            where.move(draft, file)
         yield from ()
 
     dated = events.where(F.col("day").isNotNull())

@@ -276,3 +276,21 @@ def test_factors_round_trip(spark):
     path = factors.save_factors(df, items, scratch_path(spark, "factors"))
     users, goods = factors.load_factors(spark, path)
     assert users.first()["features"] == [0.5, 1.0] and goods.count() == 1
+
+
+def test_day_files_of_a_failed_task(spark, tmp_path, monkeypatch):
+    """A task that dies after its first day leaves drafts, but no day file."""
+    from pyspark.sql import functions as F
+
+    from clickloom.sources import events as source
+
+    rows = spark.range(200).select((F.col("id") % 4).alias("day"), "id")
+    broken = rows.withColumn("id", F.when(F.col("day") < 3, F.col("id")).otherwise(
+        F.raise_error(F.lit("lost")).cast("long")))
+    folder = str(tmp_path / "days")
+    with pytest.raises(Exception, match="lost"):
+        source.write_day_files(broken, folder, parts=1)
+    assert source._day_files(spark, folder) == {}
+    source.write_day_files(rows, folder, parts=2)
+    got = source.read_events(spark, folder).select("day", "id")
+    assert sorted(map(tuple, got.collect())) == sorted((i % 4, i) for i in range(200))

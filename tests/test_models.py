@@ -215,3 +215,32 @@ def test_popularity_experiment(spark, blocks):
     test = blocks.where("user_id < 5").withColumn("item_id", F.col("item_id") + 1)
     row = run_experiment("popularity", blocks, test, k=5).first()
     assert row["model"] == "popularity" and 0 <= row["ndcg"] <= 1 and row["rmse"] is None
+
+
+@pytest.mark.parametrize(
+    "dense",
+    [
+        np.outer(np.arange(1, 31), np.arange(1, 26) % 7 + 1.0),
+        np.random.default_rng(3).normal(size=(30, 3)) @ np.random.default_rng(4).normal(size=(3, 40)),
+        np.random.default_rng(5).normal(size=(3, 60)),
+        np.zeros((4, 5)),
+        np.array([[2.0]]),
+        np.random.default_rng(6).normal(size=(12, 9)),
+    ],
+    ids=["rank 1", "rank 3", "3 users, 60 items", "zero", "1x1", "full rank"],
+)
+def test_svd_of_any_rank(spark, dense):
+    cells = [(u, i, float(dense[u, i])) for u in range(dense.shape[0]) for i in range(dense.shape[1])]
+    pairs = spark.createDataFrame(cells, "user_id long, item_id long, value double")
+    users, items, sigma = svd.truncated_svd(pairs, 6, steps=5, oversample=3)
+    true = np.linalg.svd(dense, compute_uv=False)
+    got = np.zeros(max(len(sigma), len(true)))
+    got[: len(sigma)] = sigma
+    top = max(true[0], 1.0)
+    assert np.allclose(got[: len(true)][:6], true[:6], atol=1e-6 * top)
+    v = np.array([r["features"] for r in items.orderBy("item_id").collect()])
+    residual = dense.T @ (dense @ v) - v * np.array(sigma) ** 2
+    assert np.abs(residual).max() < 1e-6 * top**2
+    assert np.allclose(v.T @ v, np.eye(len(sigma)), atol=1e-8)
+    u = np.array([r["features"] for r in users.orderBy("user_id").collect()])
+    assert np.allclose(u, dense @ v, atol=1e-8 * top)
