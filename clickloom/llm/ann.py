@@ -102,8 +102,12 @@ class Index:
 
     def search(self, own: int, query: np.ndarray, k: int, quantile: float):
         """(id, score) of the k best rows but those with the query's own id."""
-        length = math.sqrt(float(query @ query))
-        point = (query * (self.largest / length)) @ self.matrix[:-1]
+        # Scaled first: the square of a very short vector would be zero.
+        scale = float(np.abs(query).max())
+        unit = query / scale
+        unit_length = math.sqrt(float(unit @ unit))
+        length = scale * unit_length
+        point = (unit * (self.largest / unit_length)) @ self.matrix[:-1]
         outer = self.tree.squared_distances(point)
         order = np.argsort(outer, kind="stable")
         sizes = np.diff(self.tree.ends, prepend=0)[order]
@@ -114,7 +118,7 @@ class Index:
         found, scores, at, bound = [], [], 0, -np.inf
         while at < len(order):
             if len(best) == k:
-                distance = max(2 * self.largest**2 - 2 * self.largest / length * bound, 0.0)
+                distance = max(2 * self.largest**2 - 2 * self.largest * (bound / length), 0.0)
                 if outer[order[at]] > quantile * distance + 1e-9 * self.largest**2:
                     break
             to = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), BATCH)))

@@ -170,11 +170,14 @@ def write_archives(
 ) -> DataFrame:
     """Write the archives and their index; returns the index in global order (see captureindex).
 
-    `ts` is the time of capture; without one, captures are a second apart in order of their ids.
+    `ts` is the time of capture; without one, captures are a second apart in order of their ids
+    (modulo 2 * 10^11, which keeps the years below 10000).
     """
     spark = pages.sparkSession
     folder = folder or new_folder(spark, "warc")
-    when = F.timestamp_seconds(F.lit(1_577_836_800) + F.col(id_col)) if ts is None else ts
+    # Years stay within four digits, whatever the ids.
+    since = F.pmod(F.col(id_col).cast("long"), F.lit(200_000_000_000))
+    when = F.timestamp_seconds(F.lit(1_577_836_800) + since) if ts is None else ts
     stamp = F.date_format(F.coalesce(when, F.timestamp_seconds(F.lit(0))), "yyyyMMddHHmmss")
     rows = pages.select(
         F.col(id_col).cast("long").alias("id"),

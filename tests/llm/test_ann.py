@@ -94,3 +94,15 @@ def test_odd_vectors(spark):
     assert [tuple(r)[:3] for r in few.orderBy("rank").collect()] == [(1, 1, 201), (1, 2, 201), (1, 3, 2)]
     assert ann.nearest(df.limit(0), df, 20).count() == 0
     assert ann.nearest(df, df.limit(0), 20).count() == 0
+
+
+def test_very_short_query():
+    import numpy as np
+
+    from clickloom.llm import ann
+
+    vectors = np.random.default_rng(0).normal(size=(50, 8))
+    index = ann.Index(np.arange(50), vectors, float(np.linalg.norm(vectors, axis=1).max()), 6)
+    query = vectors[0] * 1e-200
+    found = np.asarray(index.search(-1, query, 50, 1e9)[0]).tolist()
+    assert sorted(found) == list(range(50))

@@ -129,3 +129,13 @@ def test_run_is_written_batch_by_batch(tmp_path, monkeypatch):
 
     captureindex.write_run(f"{tmp_path}/run.arrow", rows())
     assert sizes[-1] > sizes[4] > 0
+
+
+def test_any_page_id(spark):
+    """Hashed ids are large; their made-up times stay within four-digit years."""
+    from pyspark.sql import functions as F
+
+    ids = [1 << 62, -1, 300_000_000_000, -(1 << 63), 5]
+    df = spark.createDataFrame([(i, "http://a/", "x") for i in ids], "page_id long, url string, html string")
+    index = warc.write_archives(df, min_bytes=0)
+    assert sorted(r["id"] for r in warc.read_records(index).select(F.col("id")).collect()) == sorted(ids)
