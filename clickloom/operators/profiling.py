@@ -57,7 +57,7 @@ def describe_by(df: DataFrame, col: str, keys: Sequence[str] = ()) -> DataFrame:
         F.max(col).alias("max"),
     )
     wanted = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-    quartiles = quantiles(kept, col, wanted, keys, "linear", buckets=64 if keys else 1_024)
+    quartiles = quantiles(kept, col, wanted, keys, "linear")
     if keys:
         joined = stats.join(quartiles, list(keys), "left")
     else:

@@ -1,19 +1,25 @@
 """Exact quantiles that never sort a whole group in one task.
 
-A first pass counts rows per (group, equal-width value bucket) with map-side
-combine. Running totals over these few counts name the one bucket that holds each
-wanted rank; only rows of that bucket are counted per value and ordered. A group
-holding a third of all rows is therefore spread over its buckets, and repeated
-values collapse before they are ordered.
+Repeated values collapse first, with map-side combine. A level counts the values of
+each group per bucket; running totals over these few counts name the one bucket that
+holds each wanted rank, and only its values go on. The first level cuts the range by
+order of magnitude, so that an outlier does not push all others into one bucket; each
+further level cuts a bucket between its own smallest and largest value. Levels end when
+no bucket that holds a rank has over ``ordered`` different values: those are ordered.
+A group holding a third of all rows is therefore spread over its buckets, whatever the
+shape of its values.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickloom.session import materialize
+
 RULES = ("nearest", "floor", "linear")
 
 
@@ -27,6 +33,94 @@ def _ranks(rule: str, q: float, total: Column) -> list[Column]:
     return [F.floor(exact).cast("long"), F.ceil(exact).cast("long")]
 
 
+def _cut(value: Column, lo: Column, hi: Column, buckets: int) -> Column:
+    """Bucket of equal width between ``lo`` and ``hi``; infinite and NaN values keep their order."""
+    share = F.try_divide(value - lo, hi - lo) * buckets
+    inner = F.floor(F.greatest(F.lit(0.0), F.least(share, F.lit(buckets - 1.0))))
+    return (
+        F.when(F.isnan(value), buckets + 1)
+        .when(value == float("inf"), buckets)
+        .when(value == float("-inf"), -1)
+        .otherwise(F.coalesce(inner, F.lit(0)))
+        .cast("int")
+    )
+
+
+def _by_magnitude(cells: DataFrame, buckets: int) -> Column:
+    """Bucket by sign and logarithm: no bucket spans many orders of magnitude."""
+    d = F.col("_v").cast("double")
+    finite = ~F.isnan(d) & (F.abs(d) != float("inf"))
+    low, high, tiny = cells.where(finite).agg(
+        F.min(d), F.max(d), F.min(F.when(d != 0, F.abs(d)))
+    ).first()
+    if tiny is None:  # nothing but zeros and non-finite values
+        return _cut(d, F.lit(0.0), F.lit(0.0), buckets)
+
+    def ends(v: float) -> Column:
+        size = 0.0 if v == 0 else math.copysign(math.log(abs(v)) - math.log(tiny) + 1, v)
+        return F.lit(size)
+
+    scaled = F.when(d == 0, F.lit(0.0)).otherwise(
+        F.signum(d) * (F.ln(F.abs(d)) - F.lit(math.log(tiny)) + 1)
+    )
+    return _cut(F.when(finite, scaled).otherwise(d), ends(low), ends(high), buckets)
+
+
+def _hit(rows: DataFrame, by: list[str], reads: list[Column], above: DataFrame | None) -> DataFrame:
+    """The buckets ``_b`` of a level (within ``_p``, a bucket of the level above) that hold a wanted
+    rank: ranks before them, group totals, the reads that fall in, values and their range."""
+    counts = rows.groupBy(*by, "_p", "_b").agg(
+        F.sum("_m").alias("_c"),
+        F.count("*").alias("_k"),
+        F.min("_v").alias("_lo"),
+        F.max("_v").alias("_hi"),
+    )
+    whole = Window.partitionBy(*by, "_p")
+    before = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_start", F.coalesce(F.sum("_c").over(before), F.lit(0)))
+    if above is None:
+        counts = counts.withColumn("_total", F.sum("_c").over(whole))
+        counts = counts.withColumn("_reads", F.array(*reads))
+    else:
+        known = above.select(
+            *by, F.col("_next").alias("_p"), F.col("_start").alias("_base"), "_total", "_reads"
+        )
+        counts = counts.join(known, [*by, "_p"])
+        counts = counts.withColumn("_start", F.col("_start") + F.col("_base")).drop("_base")
+    inside = F.filter(
+        "_reads",
+        lambda r: (r["pos"] >= F.col("_start")) & (r["pos"] < F.col("_start") + F.col("_c")),
+    )
+    return (
+        counts.withColumn("_reads", inside)
+        .where(F.size("_reads") > 0)
+        .withColumn("_next", F.array_min("_reads.slot"))
+    )
+
+
+def _refine(
+    cells: DataFrame, by: list[str], reads: list[Column], buckets: int, ordered: int
+) -> tuple[DataFrame, DataFrame]:
+    """(rows with their bucket, hit buckets) of the first level whose hit buckets are small.
+
+    A level at least halves the range of a bucket with two values, so levels end."""
+    rows = cells.withColumns({"_p": F.lit(0), "_b": _by_magnitude(cells, buckets)})
+    above, size = None, None
+    while True:
+        hit = materialize(_hit(rows, by, reads, above), "quantile-buckets")
+        largest = hit.agg(F.max("_k")).first()[0] or 0
+        if largest <= ordered or largest == size:
+            return rows, hit
+        kept = hit.select(*by, "_p", "_b", "_next", "_lo", "_hi")
+        number = [F.col(c).cast("double") for c in ("_v", "_lo", "_hi")]
+        rows = (
+            rows.select(*by, "_p", "_b", "_v", "_m")
+            .join(kept, [*by, "_p", "_b"])
+            .select(*by, F.col("_next").alias("_p"), "_v", "_m", _cut(*number, buckets).alias("_b"))
+        )
+        above, size = hit, largest
+
+
 def quantiles(
     df: DataFrame,
     col: str,
@@ -34,16 +128,19 @@ def quantiles(
     by: Sequence[str] = (),
     rule: str = "nearest",
     weight: str | None = None,
-    buckets: int = 256,
+    buckets: int = 4_096,
     bounds: tuple[float, float] | None = None,
+    ordered: int = 65_536,
 ) -> DataFrame:
     """One row per group with a column per entry of ``wanted`` (name -> q).
 
     ``rule`` is the index rule: ``nearest`` reads ``round((n-1)q)``, ``floor`` reads
     ``floor(nq)``, ``linear`` interpolates between the neighbours of ``(n-1)q``.
     ``weight`` is a column of row multiplicities. Null values and rows with a null
-    group key are left out. ``bounds`` may give the overall minimum and maximum if
-    they are known; they only shape the buckets, values outside stay correct.
+    group key are left out. ``ordered`` bounds the different values that are put in
+    order together. ``bounds`` may give the overall minimum and maximum of values that
+    are known to be spread; then one level of equal width is planned without running a
+    job (values outside stay correct).
     """
     if rule not in RULES:
         raise ValueError(f"unknown rule {rule!r}")
@@ -53,52 +150,30 @@ def quantiles(
         present = present & F.col(key).isNotNull()
     mass = F.col(weight) if weight else F.lit(1)
     base = df.where(present).select(*by, F.col(col).alias("_v"), mass.cast("long").alias("_m"))
+    cells = base.groupBy(*by, "_v").agg(F.sum("_m").alias("_m"))
 
-    if bounds is not None:
-        lo, hi = (F.lit(float(b)) for b in bounds)
-    else:
-        lo = base.select(F.min("_v").cast("double")).scalar()
-        hi = base.select(F.max("_v").cast("double")).scalar()
-    share = F.try_divide(F.col("_v").cast("double") - lo, hi - lo)
-    bucket = F.greatest(
-        F.lit(0), F.least(F.coalesce(F.floor(share * buckets), F.lit(0)), F.lit(buckets - 1))
-    )
-    base = base.withColumn("_b", bucket.cast("int"))
-
-    before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    counts = (
-        base.groupBy(*by, "_b")
-        .agg(F.sum("_m").alias("_c"))
-        .withColumn("_start", F.coalesce(F.sum("_c").over(before), F.lit(0)))
-        .withColumn("_total", F.sum("_c").over(Window.partitionBy(*by)))
-    )
     reads, slots = [], {}
     for name, q in wanted.items():
         slots[name] = []
         for pos in _ranks(rule, q, F.col("_total")):
             slots[name].append(len(reads))
             reads.append(F.struct(F.lit(len(reads)).alias("slot"), pos.alias("pos")))
-    hit = (
-        counts.withColumn(
-            "_reads",
-            F.filter(
-                F.array(*reads),
-                lambda r: (r["pos"] >= F.col("_start"))
-                & (r["pos"] < F.col("_start") + F.col("_c")),
-            ),
-        )
-        .where(F.size("_reads") > 0)
-        .select(*by, "_b", "_start", "_total", "_reads")
-    )
+    if bounds is None:
+        rows, hit = _refine(materialize(cells, "quantile-values"), by, reads, buckets, ordered)
+    else:
+        ends = [F.lit(float(b)) for b in bounds]
+        cut = _cut(F.col("_v").cast("double"), *ends, buckets)
+        rows = cells.withColumns({"_p": F.lit(0), "_b": cut})
+        hit = _hit(rows, by, reads, None)
 
     upto = (
-        Window.partitionBy(*by, "_b")
+        Window.partitionBy(*by, "_p", "_b")
         .orderBy("_v")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    values = base.groupBy(*by, "_b", "_v").agg(F.sum("_m").alias("_m"))
     found = (
-        values.join(hit, [*by, "_b"])
+        rows.select(*by, "_p", "_b", "_v", "_m")
+        .join(hit.select(*by, "_p", "_b", "_start", "_total", "_reads"), [*by, "_p", "_b"])
         .withColumn("_end", F.col("_start") + F.sum("_m").over(upto))
         .withColumn(
             "_got",

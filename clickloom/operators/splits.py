@@ -39,7 +39,7 @@ def timestamp_fraction_split(df: DataFrame, fraction: float = 0.2, ts: str = "ts
 def timestamp_quantile_split(df: DataFrame, q: float = 0.8, ts: str = "ts") -> Pair:
     """Cut at the nearest-rank q-quantile of the timestamps."""
     us = df.select(micros(ts).alias("us"))
-    cut = quantile_nearest(us, "us", q, buckets=4_096).select("quantile").scalar()
+    cut = quantile_nearest(us, "us", q).select("quantile").scalar()
     return df.where(micros(ts) < cut), df.where(micros(ts) >= cut)
 
 

@@ -142,6 +142,35 @@ def test_quantiles_against_sorting(spark, rule):
     assert overall["x"] == sorted(values + [3])[50]
 
 
+@pytest.mark.parametrize("rule", quantiles.RULES)
+def test_quantiles_of_heavy_tails(spark, rule):
+    """An outlier, tiny, negative and non-finite values: results stay those of the sorted list."""
+    near = [1e15 + n for n in range(300)] + [-(3.0**n) for n in range(40)] + [2.0**-n for n in range(900)]
+    values = [*near, 0.0, 0.0, 1e300, -1e300, float("inf"), float("-inf"), 5e-324]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    wanted = {f"q{i}": q for i, q in enumerate((0.004, 0.02, 0.2, 0.5, 0.731, 0.9, 0.99))}
+    made = quantiles.quantiles(df, "v", wanted, (), rule, buckets=16, ordered=4).first()
+    values.sort()
+    n = len(values)
+    for name, q in wanted.items():
+        at = {"nearest": int((n - 1) * q + 0.5), "floor": int(n * q)}.get(rule)
+        want = values[at] if at is not None else float(pd.Series(values).quantile(q))
+        assert made[name] == pytest.approx(want, rel=1e-12, abs=0)
+
+
+def test_quantiles_order_small_buckets_only(spark):
+    """A million different values beside one outlier: no bucket that is ordered has over the bound."""
+    df = spark.range(1_000_000).selectExpr("CAST(id AS DOUBLE) AS _v", "1L AS _m")
+    df = df.union(spark.createDataFrame([(1e15, 1)], "_v double, _m long"))
+    pos = F.lit(500_000).cast("long")
+    reads = [F.struct(F.lit(0).alias("slot"), pos.alias("pos"))]
+    rows, hit = quantiles._refine(df, [], reads, 64, 1_000)
+    held = rows.join(hit.select("_p", "_b"), ["_p", "_b"])
+    assert 0 < held.count() <= 1_000
+    made = quantiles.quantiles(df, "_v", {"x": 0.5}, (), "floor", ordered=1_000).first()
+    assert made["x"] == 500_000
+
+
 def test_session_quantile_is_nearest_rank(spark):
     sessions = spark.range(1, 61).select(
         F.lit(1).alias("day"), F.col("id").alias("user_id"), F.col("id").alias("len")
