@@ -33,7 +33,7 @@ def _ranks(rule: str, q: float, total: Column) -> list[Column]:
     return [F.floor(exact).cast("long"), F.ceil(exact).cast("long")]
 
 
-def _cut(value: Column, lo: Column, hi: Column, buckets: int) -> Column:
+def cut(value: Column, lo: Column, hi: Column, buckets: int) -> Column:
     """Bucket of equal width between ``lo`` and ``hi``; infinite and NaN values keep their order."""
     share = F.try_divide(value - lo, hi - lo) * buckets
     inner = F.floor(F.greatest(F.lit(0.0), F.least(share, F.lit(buckets - 1.0))))
@@ -54,7 +54,7 @@ def _by_magnitude(cells: DataFrame, buckets: int) -> Column:
         F.min(d), F.max(d), F.min(F.when(d != 0, F.abs(d)))
     ).first()
     if tiny is None:  # nothing but zeros and non-finite values
-        return _cut(d, F.lit(0.0), F.lit(0.0), buckets)
+        return cut(d, F.lit(0.0), F.lit(0.0), buckets)
 
     def ends(v: float) -> Column:
         size = 0.0 if v == 0 else math.copysign(math.log(abs(v)) - math.log(tiny) + 1, v)
@@ -63,10 +63,10 @@ def _by_magnitude(cells: DataFrame, buckets: int) -> Column:
     scaled = F.when(d == 0, F.lit(0.0)).otherwise(
         F.signum(d) * (F.ln(F.abs(d)) - F.lit(math.log(tiny)) + 1)
     )
-    return _cut(F.when(finite, scaled).otherwise(d), ends(low), ends(high), buckets)
+    return cut(F.when(finite, scaled).otherwise(d), ends(low), ends(high), buckets)
 
 
-def _hit(rows: DataFrame, by: list[str], reads: list[Column], above: DataFrame | None) -> DataFrame:
+def hit_buckets(rows: DataFrame, by: list[str], reads: list[Column], above: DataFrame | None) -> DataFrame:
     """The buckets ``_b`` of a level (within ``_p``, a bucket of the level above) that hold a wanted
     rank: ranks before them, group totals, the reads that fall in, values and their range."""
     counts = rows.groupBy(*by, "_p", "_b").agg(
@@ -107,7 +107,7 @@ def _refine(
     rows = cells.withColumns({"_p": F.lit(0), "_b": _by_magnitude(cells, buckets)})
     above, size = None, None
     while True:
-        hit = materialize(_hit(rows, by, reads, above), "quantile-buckets")
+        hit = materialize(hit_buckets(rows, by, reads, above), "quantile-buckets")
         largest = hit.agg(F.max("_k")).first()[0] or 0
         if largest <= ordered or largest == size:
             return rows, hit
@@ -116,56 +116,31 @@ def _refine(
         rows = (
             rows.select(*by, "_p", "_b", "_v", "_m")
             .join(kept, [*by, "_p", "_b"])
-            .select(*by, F.col("_next").alias("_p"), "_v", "_m", _cut(*number, buckets).alias("_b"))
+            .select(*by, F.col("_next").alias("_p"), "_v", "_m", cut(*number, buckets).alias("_b"))
         )
         above, size = hit, largest
 
 
-def quantiles(
-    df: DataFrame,
-    col: str,
-    wanted: dict[str, float],
-    by: Sequence[str] = (),
-    rule: str = "nearest",
-    weight: str | None = None,
-    buckets: int = 4_096,
-    bounds: tuple[float, float] | None = None,
-    ordered: int = 65_536,
-) -> DataFrame:
-    """One row per group with a column per entry of ``wanted`` (name -> q).
-
-    ``rule`` is the index rule: ``nearest`` reads ``round((n-1)q)``, ``floor`` reads
-    ``floor(nq)``, ``linear`` interpolates between the neighbours of ``(n-1)q``.
-    ``weight`` is a column of row multiplicities. Null values and rows with a null
-    group key are left out. ``ordered`` bounds the different values that are put in
-    order together. ``bounds`` may give the overall minimum and maximum of values that
-    are known to be spread; then one level of equal width is planned without running a
-    job (values outside stay correct).
-    """
-    if rule not in RULES:
-        raise ValueError(f"unknown rule {rule!r}")
-    by = list(by)
-    present = F.col(col).isNotNull()
-    for key in by:
-        present = present & F.col(key).isNotNull()
-    mass = F.col(weight) if weight else F.lit(1)
-    base = df.where(present).select(*by, F.col(col).alias("_v"), mass.cast("long").alias("_m"))
-    cells = base.groupBy(*by, "_v").agg(F.sum("_m").alias("_m"))
-
+def reads_of(wanted: dict[str, float], rule: str) -> tuple[list[Column], dict[str, list[int]]]:
+    """The positions to read, numbered, and the numbers each wanted quantile needs."""
     reads, slots = [], {}
     for name, q in wanted.items():
         slots[name] = []
         for pos in _ranks(rule, q, F.col("_total")):
             slots[name].append(len(reads))
             reads.append(F.struct(F.lit(len(reads)).alias("slot"), pos.alias("pos")))
-    if bounds is None:
-        rows, hit = _refine(materialize(cells, "quantile-values"), by, reads, buckets, ordered)
-    else:
-        ends = [F.lit(float(b)) for b in bounds]
-        cut = _cut(F.col("_v").cast("double"), *ends, buckets)
-        rows = cells.withColumns({"_p": F.lit(0), "_b": cut})
-        hit = _hit(rows, by, reads, None)
+    return reads, slots
+
 
+def pick(
+    rows: DataFrame,
+    hit: DataFrame,
+    by: list[str],
+    wanted: dict[str, float],
+    rule: str,
+    slots: dict[str, list[int]],
+) -> DataFrame:
+    """Order the values of the hit buckets and read the wanted positions."""
     upto = (
         Window.partitionBy(*by, "_p", "_b")
         .orderBy("_v")
@@ -187,7 +162,7 @@ def quantiles(
         .select(*by, "_v", "_total", F.explode("_got.slot").alias("_slot"))
     )
     picks = [
-        F.max(F.when(F.col("_slot") == i, F.col("_v"))).alias(f"_r{i}") for i in range(len(reads))
+        F.max(F.when(F.col("_slot") == i, F.col("_v"))).alias(f"_r{i}") for i in range(sum(map(len, slots.values())))
     ]
     picked = found.groupBy(*by).agg(*picks, F.max("_total").alias("_total"))
     out = []
@@ -202,6 +177,49 @@ def quantiles(
     return picked.select(*by, *out)
 
 
+def quantiles(
+    df: DataFrame,
+    col: str,
+    wanted: dict[str, float],
+    by: Sequence[str] = (),
+    rule: str = "nearest",
+    weight: str | None = None,
+    buckets: int = 4_096,
+    bounds: tuple[float, float] | None = None,
+    ordered: int = 65_536,
+) -> DataFrame:
+    """One row per group with a column per entry of ``wanted`` (name -> q).
+
+    ``rule`` is the index rule: ``nearest`` reads ``round((n-1)q)``, ``floor`` reads
+    ``floor(nq)``, ``linear`` interpolates between the neighbours of ``(n-1)q``.
+    ``weight`` is a column of row multiplicities. Null values and rows with a null
+    group key are left out. ``ordered`` bounds the different values that are put in
+    order together. ``bounds`` may give the overall minimum and maximum of values that
+    are known to be spread; then one level of equal width is planned without running a
+    job (values outside stay correct).
+    """
+    if rule not in RULES:
+        raise ValueError(f"unknown rule {rule!r}")
+    by = list(by)
+    present = F.col(col).isNotNull()
+    for key in by:
+        present = present & F.col(key).isNotNull()
+    mass = F.col(weight) if weight else F.lit(1)
+    base = df.where(present).select(*by, F.col(col).alias("_v"), mass.cast("long").alias("_m"))
+    cells = base.groupBy(*by, "_v").agg(F.sum("_m").alias("_m"))
+
+    reads, slots = reads_of(wanted, rule)
+    if bounds is None:
+        rows, hit = _refine(materialize(cells, "quantile-values"), by, reads, buckets, ordered)
+    else:
+        ends = [F.lit(float(b)) for b in bounds]
+        place = cut(F.col("_v").cast("double"), *ends, buckets)
+        rows = cells.withColumns({"_p": F.lit(0), "_b": place})
+        hit = hit_buckets(rows, by, reads, None)
+
+    return pick(rows, hit, by, wanted, rule, slots)
+
+
 def quantile_nearest(
     df: DataFrame, col: str, q: float, by: Sequence[str] = (), name: str = "quantile", **kw
 ) -> DataFrame:

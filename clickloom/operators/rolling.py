@@ -5,9 +5,11 @@ Shape of the plan, per feature group:
 1. partial sums per (keys, day): map-side combine leaves at most one row per key and
    day, however hot the key;
 2. one shuffle of those partials on the keys;
-3. each partial is repeated for the snapshot days that see it, and summed per
-   (keys, snapshot day). Step 3 needs no further shuffle, so the N-fold fan-out
-   stays inside a task.
+3. in that partitioning, a window changes on the days a partial enters it and on the
+   days one leaves it. Counters are running sums of what enters less what leaves, price
+   statistics come from a frame over the last days; between two changes the result
+   stands still and is repeated per snapshot day at the very end. Work and rows do not
+   grow with the length of the window.
 """
 
 from __future__ import annotations
@@ -15,12 +17,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.columns import feature_name
 from clickloom.operators.cleaning import compact_dtypes
-from clickloom.operators.quantiles import quantiles
+from clickloom.operators.quantiles import cut, hit_buckets, pick, reads_of
 from clickloom.session import cut_lineage, materialize
 from clickloom.vocab import FEATURE_GROUPS, ITEM_KEYS, USER_KEYS
 
@@ -90,6 +92,81 @@ def _fan_out(df: DataFrame, num_days: int, first: int, last: int, clip: bool) ->
     return df.where(seen).withColumn("_snap", F.explode(F.sequence(start, end)))
 
 
+def _changes(df: DataFrame, num_days: int, first: int, last: int, clip: bool) -> DataFrame:
+    """Each row on the day ``_at`` it enters the window (``_sign`` 1) and on the one it leaves (-1)."""
+    from_day = first if clip else first - num_days + 1
+    leaves = F.when(
+        F.col("day") + F.lit(num_days) <= F.lit(last),
+        F.struct((F.col("day") + F.lit(num_days)).alias("at"), F.lit(-1).alias("sign")),
+    )
+    enters = F.struct(F.col("day").alias("at"), F.lit(1).alias("sign"))
+    return (
+        df.where((F.col("day") >= from_day) & (F.col("day") <= last))
+        .withColumn("_change", F.explode(F.array_compact(F.array(enters, leaves))))
+        .withColumns({"_at": F.col("_change.at"), "_sign": F.col("_change.sign")})
+        .drop("_change")
+    )
+
+
+def _standing(
+    df: DataFrame, keys: list[str], num_days: int, first: int, last: int, stats: dict[str, Column]
+) -> DataFrame:
+    """Window statistics per (keys, snapshot day) from rows made by :func:`_changes`.
+
+    ``stats`` are columns over the windows of :func:`_frames`. Rows of one day see the same
+    frame, so the last of them stands for the day and the days up to the next change.
+    """
+    ordered = Window.partitionBy(*keys).orderBy("_at")
+    running, _ = _frames(keys, num_days)
+    inside = F.sum("_sign").over(running)
+    seen = df.select(
+        *keys, "_at", F.lead("_at").over(ordered).alias("_next"), inside.alias("_inside"),
+        *(c.alias(n) for n, c in stats.items()),
+    )
+    start = F.greatest(F.col("_at"), F.lit(first))
+    end = F.least(F.coalesce(F.col("_next") - 1, F.lit(last)), F.lit(last))
+    days = seen.where((F.col("_inside") > 0) & (start <= end))
+    return days.withColumn("_snap", F.explode(F.sequence(start, end))).drop("_at", "_next", "_inside")
+
+
+def _frames(keys: list[str], num_days: int) -> tuple[Window, Window]:
+    """(everything up to the day, the last ``num_days`` days), rows of the same day included."""
+    ordered = Window.partitionBy(*keys).orderBy("_at")
+    return (
+        ordered.rangeBetween(Window.unboundedPreceding, Window.currentRow),
+        ordered.rangeBetween(1 - num_days, Window.currentRow),
+    )
+
+
+def _spread_medians(
+    freq: DataFrame,
+    keys: list[str],
+    name: str,
+    window: tuple[int, int, int, bool],
+    bounds: tuple[float, float],
+) -> DataFrame:
+    """Medians of groups too large for one task, from price frequencies per (keys, day).
+
+    Only counts per price bucket are repeated for the days of the window; of the prices, those in
+    the bucket that holds a middle rank.
+    """
+    num_days, first, last, clip = window
+    by = [*keys, "_snap"]
+    reads, slots = reads_of({name: 0.5}, "linear")
+    place = cut(F.col("price").cast("double"), *(F.lit(float(b)) for b in bounds), 256)
+    placed = freq.withColumns({"_p": F.lit(0), "_b": place})
+    counts = placed.groupBy(*keys, "day", "_p", "_b").agg(F.sum("_m").alias("_m"))
+    days = _fan_out(counts, num_days, first, last, clip).withColumn("_v", F.lit(0))
+    hit = hit_buckets(days, by, reads, None)
+    ranked = placed.join(hit.select(*by, "_p", "_b"), [*keys, "_p", "_b"]).where(
+        F.col("day").between(F.col("_snap") - (num_days - 1), F.col("_snap"))
+    )
+    if clip:
+        ranked = ranked.where(F.col("day") >= first)
+    rows = ranked.groupBy(*by, "_p", "_b", F.col("price").alias("_v")).agg(F.sum("_m").alias("_m"))
+    return pick(rows, hit, by, {name: 0.5}, "linear", slots)
+
+
 def rolling_features(
     enriched: DataFrame,
     keys: Sequence[str | None],
@@ -140,27 +217,34 @@ def rolling_features(
             F.max("price").alias("_hi"),
         )
 
+    window = (num_days, first, last, clip_to_range)
+    partials = partials.repartition(*keys)
     counted = {c: "_n" for c in counters}
     if absent_day == "null":
         # One row per stored day bounds this broadcast.
         partials = partials.join(F.broadcast(facts.present), "day")
-        counted = {c: f"CASE WHEN `_has_{c}` THEN _n END" for c in counters}
+        counted = {c: f"if(`_has_{c}`, _n, 0)" for c in counters}
 
     def name(stat: str) -> str:
         return feature_name(stat, keys, num_days)
 
-    means = [
-        F.expr(f"try_divide(sum(`{c}`), sum({counted[c]})) AS `{name(f'mean_{c}')}`")
-        for c in counters
-    ]
-    sums = [F.expr(f"sum(`{c}`) AS `{name(f'sum_{c}')}`") for c in counters]
-    price = [
-        F.try_divide(F.sum("_ps"), F.sum("_pn")).alias(name("mean_price")),
-        F.min("_lo").alias(name("min_price")),
-        F.max("_hi").alias(name("max_price")),
-    ]
-    fanned = _fan_out(partials.repartition(*keys), num_days, first, last, clip_to_range)
-    stats = fanned.groupBy(*keys, "_snap").agg(*means, *price, *sums)
+    running, frame = _frames(keys, num_days)
+
+    def total(value: str) -> Column:
+        return F.sum(F.expr(f"_sign * {value}")).over(running)
+
+    def framed(aggregate, col: str) -> Column:
+        return aggregate(F.when(F.col("_sign") > 0, F.col(col))).over(frame)
+
+    sums = {c: total(f"`{c}`") for c in counters}
+    stats = {name(f"sum_{c}"): sums[c] for c in counters}
+    stats |= {name(f"mean_{c}"): F.try_divide(sums[c], total(counted[c])) for c in counters}
+    stats |= {
+        name("mean_price"): F.try_divide(framed(F.sum, "_ps"), framed(F.sum, "_pn")),
+        name("min_price"): framed(F.min, "_lo"),
+        name("max_price"): framed(F.max, "_hi"),
+    }
+    stats = _standing(_changes(partials, *window), keys, num_days, first, last, stats)
 
     median = name("median_price")
     if "item_id" in keys:
@@ -175,22 +259,12 @@ def rolling_features(
         if "user_id" in keys:
             # Many small groups: frequencies move once, by key; window and exact median follow
             # in the same partitioning.
-            seen = _fan_out(freq.repartition(*keys), num_days, first, last, clip_to_range)
-            middle = seen.groupBy(*keys, "_snap").agg(
-                F.percentile("price", 0.5, F.col("_m")).alias(median)
-            )
+            moves = _changes(freq.repartition(*keys), *window)
+            weight = F.when(F.col("_sign") > 0, F.col("_m")).otherwise(F.lit(0))
+            middle = {median: F.percentile("price", 0.5, weight).over(frame)}
+            middle = _standing(moves, keys, num_days, first, last, middle)
         else:
-            seen = _fan_out(freq, num_days, first, last, clip_to_range)
-            middle = quantiles(
-                seen.select(*keys, "_snap", "price", "_m"),
-                "price",
-                {median: 0.5},
-                [*keys, "_snap"],
-                "linear",
-                weight="_m",
-                buckets=256,
-                bounds=facts.price or (0.0, 0.0),
-            )
+            middle = _spread_medians(freq, keys, median, window, facts.price or (0.0, 0.0))
         stats = stats.join(middle, [*keys, "_snap"], "left")
     ordered = [
         *(name(f"mean_{c}") for c in counters),

@@ -19,7 +19,7 @@ from clickloom.session import materialize, scratch_path
 from clickloom.sources import adapters
 from clickloom.vocab import ACTIONS, FEATURE_GROUPS, SUBDOMAINS
 
-WINDOW = 7
+WINDOW = 30
 GROUPS = list(FEATURE_GROUPS)
 
 
@@ -248,7 +248,7 @@ RETAIL_PLACES = ["main", "item", "catalog", "search", "cart"]
         "SELECT r.item_id, CAST(d AS INTEGER) AS day, count(*) FILTER (action = 'added-to-cart') AS carts, "
         "count(*) FILTER (action = 'view' AND place = 'cart') AS views_in_cart, count(*) FILTER "
         "(action = 'added-to-cart' AND place = 'main') AS carts_on_main FROM r JOIN (SELECT unnest(range("
-        "min(day), max(day) + 1)) AS d FROM r) ON r.day BETWEEN d - 6 AND d GROUP BY 1, 2",
+        "min(day), max(day) + 1)) AS d FROM r) ON r.day BETWEEN d - 29 AND d GROUP BY 1, 2",
         "interactions_wide",
         extra={
             "r": "SELECT day, item_id, CASE action_type WHEN 'view' THEN 'view' ELSE 'added-to-cart' END "
@@ -466,7 +466,7 @@ def _(spark, root):
     return _flat(made.withColumn("label", F.round(F.col("label").cast("double"), 6)))
 
 
-MART_GROUPS = [("user_id",), ("user_id", "item_id"), ("item_id",), ("socdem_cluster", "brand_id")]
+MART_GROUPS = GROUPS
 
 
 @query("feature_mart", _dataset_sql(MART_GROUPS))
@@ -636,7 +636,7 @@ def _history_sql(pairs: str, extra: dict[str, str]) -> str:
             + ", ".join(
                 f"sum(num_{a}_all_subdomains) AS {a}" for a in ("view", "click", "clickout", "like")
             )
-            + " FROM aggs WHERE day BETWEEN 19744 AND 19750 GROUP BY 1, 2",
+            + f" FROM aggs WHERE day BETWEEN {19750 - WINDOW + 1} AND 19750 GROUP BY 1, 2",
             "wp": "SELECT user_id, item_id, CAST(ln(1 + view + 2 * click + 4 * clickout + 8 * \"like\") "
             "AS FLOAT) AS weight FROM snapshot",
         },

@@ -111,6 +111,53 @@ def test_rolling_price_median_is_weighted(spark):
     assert row["f_num__brand_id__mean_price_1d"] == 5.75
 
 
+@pytest.mark.parametrize("days, clip", [(1, False), (4, True), (30, False), (30, True)])
+def test_rolling_against_every_window(spark, days, clip):
+    """Gaps, days before the range, repeated days and null prices, window by window in plain Python."""
+    rows = [
+        (d, n % 3, n % 2, None if n % 7 == 0 else float(n * n % 11), n % 5)
+        for n, d in enumerate([1, 1, 2, 5, 5, 5, 6, 14, 15, 15, 40, 41, 41, 75, 75, 76])
+    ]
+    df = enriched(spark, rows).withColumnRenamed("brand_id", "brand")
+    df = df.withColumns({"brand_id": F.col("brand"), "user_id": F.col("user_id")}).drop("brand")
+    for key, at in (("user_id", 1), ("brand_id", 2)):
+        made = rolling.rolling_features(
+            df, (key,), days, 3, 78, "zero", clip, counters=["num_view_u2i"]
+        )
+        got = {(r[key], r["day"]): r for r in made.collect()}
+        want = {}
+        for day in range(3, 79):
+            for value in {r[at] for r in rows}:
+                held = [
+                    r for r in rows
+                    if r[at] == value and day - days < r[0] <= day and (r[0] >= 3 or not clip)
+                ]
+                if held:
+                    want[value, day] = held
+        assert set(got) == set(want)
+        for place, held in want.items():
+            row, prices = got[place], pd.Series([r[3] for r in held if r[3] is not None], dtype=float)
+            named = {s: row[f"f_num__{key}__{s}_price_{days}d"] for s in ("mean", "median", "min", "max")}
+            for stat, value in named.items():
+                expected = getattr(prices, stat)()
+                assert value is None if pd.isna(expected) else value == pytest.approx(expected, rel=1e-6)
+            total = sum(r[4] for r in held)
+            assert row[f"f_num__{key}__sum_num_view_u2i_{days}d"] == total
+            mean = row[f"f_num__{key}__mean_num_view_u2i_{days}d"]
+            assert mean == pytest.approx(total / len(held), rel=1e-6)
+
+
+def test_rolling_plan_does_not_grow_with_the_window(spark):
+    """No exchange lies above the rows that are repeated per snapshot day."""
+    df = enriched(spark, [(1, 7, 1, 1.0, 4), (2, 7, 1, 1.0, 3)])
+    for key in ("user_id", "item_id"):
+        wide = df.withColumn("item_id", F.col("user_id"))
+        made = rolling.rolling_features(wide, (key,), 30, counters=["num_view_u2i"])
+        plan = made._jdf.queryExecution().sparkPlan().toString()
+        before, _, after = plan.partition("sequence(")
+        assert after and "Exchange" not in before.replace("BroadcastExchange", "")
+
+
 def test_group_needs_a_key():
     with pytest.raises(ValueError):
         rolling.check_group((None, None))

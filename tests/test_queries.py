@@ -33,10 +33,7 @@ def rows(columns, data):
 
 
 # The widest joins are covered by build_dataset and by the mart's own parts.
-SLOW = {"feature_mart", "build_feature_layer"}
-
-
-@pytest.mark.parametrize("name", [n for n in contract.oracle_sql() if n not in SLOW])
+@pytest.mark.parametrize("name", list(contract.oracle_sql()))
 def test_against_sql(spark, con, name):
     df = contract.queries()[name](spark, ROOT)
     rel = con.sql(contract.oracle_sql()[name])
