@@ -32,7 +32,6 @@ def rows(columns, data):
     return sorted((tuple(plain(r[i]) for i in order) for r in data), key=repr)
 
 
-# The widest joins are covered by build_dataset and by the mart's own parts.
 @pytest.mark.parametrize("name", list(contract.oracle_sql()))
 def test_against_sql(spark, con, name):
     df = contract.queries()[name](spark, ROOT)
