@@ -8,8 +8,9 @@ Shape of the plan, per feature group:
 3. in that partitioning, a window changes on the days a partial enters it and on the
    days one leaves it. Counters are running sums of what enters less what leaves, price
    statistics come from a frame over the last days; between two changes the result
-   stands still and is repeated per snapshot day at the very end. Work and rows do not
-   grow with the length of the window.
+   stands still and is repeated per snapshot day at the very end. Rows that are shuffled
+   and sorted do not grow with the length of the window; the price frames read each of
+   their rows anew on every day of change.
 """
 
 from __future__ import annotations
