@@ -18,6 +18,7 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Iterator, Sequence
+from itertools import repeat
 
 import numpy as np
 import regex
@@ -26,8 +27,9 @@ import regex
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PRINTABLE = [(33, 126), (161, 172), (174, 255)]
 
-PIECES = 1_500_000  # distinct stretches kept at a time; beyond that the table starts anew
+PIECES = 1_500_000  # distinct stretches kept at a time; beyond that only those met again stay
 HELD = 1 << 25  # as for PIECES, in characters
+WORDS = 100  # new stretches joined to one text for the library, which is slower on long texts
 SLICE = 1 << 20  # pieces looked up at a time, which bounds memory on very long texts
 
 _PROBE = "It's  a\tprobe: 12 cafés,\n\n  日本 \U0001f600!! don't  x <|endoftext|>  "
@@ -91,6 +93,34 @@ class _Stretches(dict):
         self.opens, self.closes = _Growing(np.bool_), _Growing(np.bool_)
         self.ids, self.begin, self.end = _Growing(np.uint32), _Growing(np.int64), _Growing(np.int64)
         self.held = 0
+        self.again = np.zeros(1 << 12, np.bool_)  # by row: met in a batch after the one that added it
+
+    def shrink(self) -> None:
+        """Keep the stretches met again, if they are at most half of the table; else none. All
+        rows change."""
+        keep = np.flatnonzero(self.again[: len(self.first)])
+        names = list(self)  # rows are given in the order of the keys
+        old = [t.array() for t in (self.first, self.count, self.chars, self.opens, self.closes)]
+        flat = [t.array() for t in (self.ids, self.begin, self.end)]
+        self.clear()
+        if 2 * len(keep) > len(names) or 2 * int(old[2][keep].sum()) > HELD:
+            return
+        first, count, chars, opens, closes = (values[keep] for values in old)
+        take = _positions(first, count)
+        self.ids.extend(flat[0][take])
+        if self.spans:
+            self.begin.extend(flat[1][take])
+            self.end.extend(flat[2][take])
+        self.first.extend(np.cumsum(count) - count)
+        for table, values in (
+            (self.count, count),
+            (self.chars, chars),
+            (self.opens, opens),
+            (self.closes, closes),
+        ):
+            table.extend(values)
+        self.update((names[row], at) for at, row in enumerate(keep.tolist()))
+        self.held = int(chars.sum())
 
     def _add(self, key: str, length: int, opens: bool, closes: bool, ids: list, spans: list) -> None:
         self[key] = len(self.first)
@@ -106,13 +136,15 @@ class _Stretches(dict):
         self.held += length
 
     def learn(self, keys: list[str]) -> None:
-        """Add the keys that are new."""
-        joined = []
-        for key in dict.fromkeys(keys):
-            if key in self:
-                continue
-            if key and not (key[0].isspace() or key[-1].isspace()):
-                joined.append(key)
+        """Add the keys, all of them new; they may repeat."""
+        distinct = list(dict.fromkeys(keys))
+        joined = [key for key in distinct if key and key.strip() == key]
+        if joined:
+            self._learn_joined(joined)
+        if len(joined) == len(distinct):
+            return
+        for key in distinct:
+            if key and key.strip() == key:
                 continue
             # White space at an end: opens and closes tell whether a neighbour may matter.
             spaced = not key.startswith(" ")
@@ -120,26 +152,26 @@ class _Stretches(dict):
             opens = spaced and (not key or key[0].isspace())
             closes = bool(text) and text[-1].isspace()
             self._add(key, len(text), opens, closes, *self._tokens(text))
-        if joined:
-            self._learn_joined(joined)
 
     def _learn_joined(self, words: list[str]) -> None:
         """Words without white space at their ends: joined by spaces, each is cut out where a
         token begins with a space, as no other token does."""
-        text, row, count = " " + " ".join(words), len(self.first), len(words)
+        row, count = len(self.first), len(words)
         lengths = np.fromiter(map(len, words), np.int64, count) + 1
-        if self.spans:
-            whole = self.tokenizer.encode(text, add_special_tokens=False)
-        else:
-            whole = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
-        ids = np.array(whole.ids, np.uint32)
+        texts = [" " + " ".join(words[at : at + WORDS]) for at in range(0, count, WORDS)]
+        encode = self.tokenizer.encode_batch if self.spans else self.tokenizer.encode_batch_fast
+        found = encode(texts, add_special_tokens=False)
+        each = [np.array(part.ids, np.uint32) for part in found]
+        ids = np.concatenate(each)
         starts = np.flatnonzero(self.spaced[ids])
         if len(starts) != count:
             raise ValueError("a token holds a space inside")
         counts = np.diff(starts, append=len(ids))
         if self.spans:
             begins = np.repeat(np.cumsum(lengths) - lengths, counts)
-            offsets = np.array(whole.offsets, np.int64)
+            shift = np.cumsum([0, *map(len, texts[:-1])])
+            offsets = np.concatenate([np.array(part.offsets, np.int64) for part in found])
+            offsets += np.repeat(shift, [len(part) for part in each])[:, None]
             self.begin.extend(offsets[:, 0] - begins)
             self.end.extend(offsets[:, 1] - begins)
         self.first.extend(starts + len(self.ids))
@@ -149,7 +181,7 @@ class _Stretches(dict):
         self.opens.extend(np.zeros(count, np.bool_))
         self.closes.extend(np.zeros(count, np.bool_))
         self.update(zip(words, range(row, row + count)))
-        self.held += len(text)
+        self.held += int(lengths.sum())
 
     def _tokens(self, text: str) -> tuple[list, list]:
         """Ids and spans of a text, piece by piece."""
@@ -168,16 +200,28 @@ class _Stretches(dict):
             shift += len(piece)
         return ids, spans
 
-    def rows(self, keys: list[str]) -> list[int]:
-        found = list(map(self.get, keys))
-        if None in found:
-            new = [at for at, row in enumerate(found) if row is None]
-            self.learn([keys[at] for at in new])
-            for at in new:
-                found[at] = self[keys[at]]
+    def rows(self, keys: list[str]) -> np.ndarray:
+        found = np.fromiter(map(self.get, keys, repeat(-1)), np.int64, len(keys))
+        if len(self.again) < len(self.first):
+            more = np.zeros(2 * len(self.first) - len(self.again), np.bool_)
+            self.again = np.concatenate([self.again, more])
+        new = np.flatnonzero(found < 0).tolist()
+        if new:
+            words = [keys[at] for at in new]
+            self.again[found[found >= 0]] = True
+            self.learn(words)
+            found[new] = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        else:
+            self.again[found] = True
         return found
 
 
+def _positions(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Positions first[i] .. first[i] + count[i] - 1, for all i in turn."""
+    ends = np.cumsum(count)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - count), count)
+
+
 class TextEncoder:
     """Encodes whole texts with the tokenizer file at `path`, without special tokens."""
 
@@ -213,9 +257,9 @@ class TextEncoder:
         )
 
     def _room(self) -> None:
-        """Start the table anew if it is full; rows looked up before are void then."""
+        """Make room if the table is full; rows looked up before are void then."""
         if len(self.store) > PIECES or self.store.held > HELD:
-            self.store.clear()
+            self.store.shrink()
 
     def _split(self, text: str) -> list[str]:
         """Keys of the pieces of a text, by the pattern."""
@@ -231,7 +275,7 @@ class TextEncoder:
                 words[0] = " " + words[0]
                 keys += words
             ends.append(len(keys))
-        rows = np.array(self.store.rows(keys), np.int64)
+        rows = self.store.rows(keys)
         closes, opens = self.store.closes.array()[rows], self.store.opens.array()[rows]
         inner = np.flatnonzero(closes[:-1] & opens[1:])
         if not len(inner):
@@ -240,7 +284,7 @@ class TextEncoder:
         parts, at = [], 0
         for i, end in enumerate(ends):
             if i in marked:
-                parts.append(np.array(self.store.rows(self._split(texts[i])), np.int64))
+                parts.append(self.store.rows(self._split(texts[i])))
             else:
                 parts.append(rows[at:end])
             at = end
@@ -256,21 +300,15 @@ class TextEncoder:
         for match in self.pattern.finditer(text):
             found.append(" " + match.group())
             if len(found) == SLICE:
-                yield np.array(self.store.rows(found), np.int64)
+                yield self.store.rows(found)
                 found = []
                 self._room()
-        yield np.array(self.store.rows(found), np.int64)
-
-    @staticmethod
-    def _gather(first: np.ndarray, count: np.ndarray) -> np.ndarray:
-        """Positions first[i] .. first[i] + count[i] - 1, for all i in turn."""
-        ends = np.cumsum(count)
-        return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - count), count)
+        yield self.store.rows(found)
 
     def _ids(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows, and the number of ids of each."""
         count = self.store.count.array()[rows]
-        return self.store.ids.array()[self._gather(self.store.first.array()[rows], count)], count
+        return self.store.ids.array()[_positions(self.store.first.array()[rows], count)], count
 
     def ids(self, text: str | None) -> np.ndarray:
         """Token ids of a whole text (null: none)."""
@@ -304,7 +342,7 @@ class TextEncoder:
         for rows in self._row_slices(text):
             store = self.store
             count, length = store.count.array()[rows], store.chars.array()[rows]
-            take = self._gather(store.first.array()[rows], count)
+            take = _positions(store.first.array()[rows], count)
             start = np.repeat(at + np.cumsum(length) - length, count)
             ids_of.append(store.ids.array()[take])
             spans.append(

@@ -57,6 +57,22 @@ def test_encoder_equals_library(tokenizer, monkeypatch):
             assert [tuple(s) for s in spans.tolist()] == whole.offsets
 
 
+@pytest.mark.parametrize("spans", [False, True])
+def test_full_table_keeps_what_is_met_again(tokenizer, monkeypatch, spans):
+    ours = encoding.TextEncoder(byte_bpe(), spans)
+    monkeypatch.setattr(encoding, "PIECES", 60)
+    for i in range(40):
+        texts = [f"the common words, new{i} word{i * 7}x here", "  odd\tspaces the  end "]
+        ids, counts = ours.ids_of(texts)
+        for text, cut in zip(texts, np.split(ids, np.cumsum(counts)[:-1])):
+            whole = tokenizer.encode(text, add_special_tokens=False)
+            assert cut.tolist() == whole.ids
+            if spans:
+                assert [tuple(s) for s in ours.encode(text)[1].tolist()] == whole.offsets
+    assert {"common", "words,", "here"} <= set(ours.store) and "new3" not in ours.store
+    assert len(ours.store) <= 60 + 20
+
+
 def test_encoder_slices_long_texts(tokenizer, monkeypatch):
     ours = encoding.TextEncoder(byte_bpe())
     monkeypatch.setattr(encoding, "SLICE", 50)
