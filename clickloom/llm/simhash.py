@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from clickloom.llm.components import components
 from clickloom.llm.files import partitions_of
+from clickloom.llm.skew import hot_keys, join_spread
 from clickloom.session import materialize
 
 SEED = 42
@@ -194,20 +195,26 @@ def group_fingerprints(
 ) -> DataFrame:
     """(id, fingerprint) rows with component_id: the smallest id reachable over links."""
     found = components(links(prints, radius, tile))
-    least = prints.groupBy("fingerprint").agg(F.min(id_col).alias("_least"))
+    least = materialize(
+        prints.groupBy("fingerprint").agg(F.min(id_col).alias("_least"), F.count("*").alias("count")),
+        "least",
+    )
+    total = least.agg(F.sum("count")).first()[0] or 0
     linked = found.join(least, found["node"] == least["fingerprint"]).select("node", "root", "_least")
-    named = linked.join(
-        linked.groupBy("root").agg(F.min("_least").alias("_component")), "root"
+    linked = materialize(linked, "linked")
+    roots = linked.groupBy("root").agg(F.min("_least").alias("_component"), F.count("*").alias("count"))
+    named = join_spread(
+        linked, roots.drop("count"), "root", hot_keys(roots, "root", total), "node"
     ).select(F.col("node").alias("fingerprint"), "_component")
-    # Written first, so that the last join has two plain sides and a fingerprint that very many
-    # documents share is split over tasks.
+    # Written first, so that the last join has two plain sides.
     groups = materialize(
         least.join(named, "fingerprint", "left").select(
             "fingerprint", F.coalesce("_component", "_least").alias("component_id")
         ),
         "groups",
     )
-    return prints.drop("component_id").join(groups, "fingerprint")
+    hot = hot_keys(least, "fingerprint", total)
+    return join_spread(prints.drop("component_id"), groups, "fingerprint", hot, id_col)
 
 
 def simhash_groups(

@@ -102,3 +102,16 @@ def test_one_document_of_each_group_stays(spark):
     assert got.columns == df.columns
     kept = sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr)
     assert kept == sorted([(1, "a b c d e"), (7, "other text"), (None, "no id at all"), (9, None)], key=repr)
+
+
+def test_fingerprint_and_group_over_the_hot_share(spark, monkeypatch):
+    monkeypatch.setattr("clickloom.llm.skew.FEW", 2)
+    monkeypatch.setattr("clickloom.llm.skew.SHARES", 20)
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(30)]
+    long = [rng.choice(words) for _ in range(2000)]
+    rows = [(300 - i, " ".join(long), "x", 1) for i in range(80)] + [(None, " ".join(long), "x", 1)] * 3
+    for i in range(30):  # many fingerprints of one component
+        rows.append((400 + i, " ".join([*long[: 100 + i], "new", *long[101 + i :]]), "x", 1))
+    rows += [(600 + i, f"text {i} of its own", "x", 1) for i in range(20)]
+    check(spark, rows, tile=8192)
