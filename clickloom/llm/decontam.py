@@ -8,9 +8,10 @@ found in one pass over the text (Aho-Corasick), and every hit is verified by Mye
 edit distance over the window that a match around it could cover. No hit is left out, so the
 result is exact: all (document, item) pairs within the budget, with the least distance.
 
-Items are worked on in blocks of at most `block_chars` normalised characters; a block is what a
-task holds, and its size is the bound of what is broadcast. More items mean more passes, not a
-larger broadcast. Repeated items with equal texts share their pieces and their work.
+Items are dealt by hash to blocks of about `block_chars` normalised characters; a block is what a
+task holds, and its size is the bound of what the driver collects and broadcasts. Blocks are worked
+on one after another: with several, what a pass finds or leaves is written to the shared folder
+before the next block is collected. More items mean more passes, not a larger broadcast. Repeated items with equal texts share their pieces and their work.
 
 Cases: null and blank items match nothing; short items (under 1 / rate characters) have no budget
 and need an exact occurrence; null texts contain nothing; repeated documents and items are each
@@ -32,7 +33,6 @@ RATE = 0.10
 BLOCK_CHARS = 4_000_000
 
 
-
 def normalise(text: str | None) -> str:
     """Lower case, white space as single spaces, none at the ends."""
     return " ".join((text or "").lower().split())
@@ -173,7 +173,8 @@ class Matcher:
 
 
 def _blocks(items: DataFrame, id_col: str, text_col: str, block_chars: int):
-    """Blocks of distinct normalised items, none over `block_chars` unless a single item is."""
+    """All (item, t) rows, distinct normalised items with the number of their block, and how many
+    blocks there are."""
 
     @F.pandas_udf("string")
     def plain(texts: pd.Series) -> pd.Series:
@@ -183,15 +184,27 @@ def _blocks(items: DataFrame, id_col: str, text_col: str, block_chars: int):
     rows = materialize(rows.where("t <> ''"), "items")
     total = rows.agg(F.sum(F.length("t"))).first()[0] or 0
     count = -(-total // block_chars)
-    distinct = rows.select("t").distinct().withColumn("block", F.pmod(F.xxhash64("t"), F.lit(max(1, count))))
-    blocks = []
+    number = F.pmod(F.xxhash64("t"), F.lit(max(1, count)))
+    distinct = rows.select("t").distinct().withColumn("block", number)
+    if count > 1:
+        distinct = materialize(distinct, "blocks")
+    return rows, distinct, count
+
+
+def _each_block(distinct: DataFrame, count: int) -> Iterator:
+    """The blocks that hold items, each broadcast. The driver holds one at a time: if there are
+    several, a broadcast is gone when the next one is asked for."""
     for number in range(count):
-        blocks.append(sorted(r["t"] for r in distinct.where(F.col("block") == number).collect()))
-    return rows, [b for b in blocks if b]
+        block = sorted(r["t"] for r in distinct.where(F.col("block") == number).collect())
+        if block:
+            shared = distinct.sparkSession.sparkContext.broadcast(block)
+            del block
+            yield shared
+            if count > 1:
+                shared.destroy()
 
 
-def _finder(spark, block: list[str], rate: float):
-    shared = spark.sparkContext.broadcast(block)
+def _finder(shared, rate: float):
     held: list[Matcher] = []
 
     def matcher() -> Matcher:
@@ -216,12 +229,12 @@ def find_contaminated(
     """One row per document and item it contains: id, item id, distance, begin and end of the best
     stretch in the normalised text."""
     spark = docs.sparkSession
-    rows, blocks = _blocks(items, item_id_col, item_text_col, block_chars)
+    rows, distinct, count = _blocks(items, item_id_col, item_text_col, block_chars)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = "id long, t string, distance int, begin int, end int"
     found = spark.createDataFrame([], schema)
-    for block in blocks:
-        matcher = _finder(spark, block, rate)
+    for shared in _each_block(distinct, count):
+        matcher = _finder(shared, rate)
 
         def search(frames, matcher=matcher):
             for frame in frames:
@@ -233,7 +246,8 @@ def find_contaminated(
                     {"id": "Int64"}
                 )
 
-        found = found.unionByName(texts.mapInPandas(search, schema))
+        matches = texts.mapInPandas(search, schema)
+        found = found.unionByName(matches if count == 1 else materialize(matches, "matches"))
     return found.join(rows, "t").select(
         F.col("id").alias(id_col),
         F.col("item").alias(item_id_col),
@@ -254,10 +268,12 @@ def remove_contaminated(
     block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
     """The rows and columns of `docs` that contain no item."""
-    _, blocks = _blocks(items, item_id_col, item_text_col, block_chars)
-    for block in blocks:
-        clean = _cleaner(_finder(docs.sparkSession, block, rate))
+    _, distinct, count = _blocks(items, item_id_col, item_text_col, block_chars)
+    for shared in _each_block(distinct, count):
+        clean = _cleaner(_finder(shared, rate))
         docs = docs.where(clean(F.col(text_col).cast("string")))
+        if count > 1:
+            docs = materialize(docs, "clean")
     return docs
 
 
