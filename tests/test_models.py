@@ -244,3 +244,26 @@ def test_svd_of_any_rank(spark, dense):
     assert np.allclose(v.T @ v, np.eye(len(sigma)), atol=1e-8)
     u = np.array([r["features"] for r in users.orderBy("user_id").collect()])
     assert np.allclose(u, dense @ v, atol=1e-8 * top)
+
+
+def test_vae_steps_share_jobs(spark, blocks, monkeypatch):
+    histories = blocks.groupBy("user_id").agg(
+        F.array_sort(F.collect_list(F.struct("item_id", "target"))).alias("h")
+    ).select("user_id", F.col("h.item_id").alias("item_idx"), F.col("h.target").alias("weight"))
+    sc, made, jobs = spark.sparkContext, [], []
+    entries = histories.agg(F.sum(F.size("item_idx"))).first()[0]
+    # All steps of an epoch in one task; in three groups; one by one over the shards.
+    for group, work in ((entries, 1 << 28), (entries // 3 + 1, 1 << 28), (entries // 3 + 1, 0)):
+        monkeypatch.setattr(multvae, "GROUP_ENTRIES", group)
+        monkeypatch.setattr(multvae, "STEP_WORK", work)
+        name = f"vae-{len(made)}"
+        sc.setJobGroup(name, "")
+        made.append(multvae.fit_multvae(histories, 20, (8, 3), epochs=1, batch_size=3))
+        jobs.append(len(sc.statusTracker().getJobIdsForGroup(name)))
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    steps = -(-histories.count() // 3)
+    assert steps > 10 and jobs[0] < steps < jobs[2]
+    for other in made[1:]:
+        assert other.losses == made[0].losses
+        for name, w in made[0].weights.items():
+            assert (w == other.weights[name]).all()
