@@ -115,7 +115,12 @@ DIMENSIONS = ("os", "subdomain", "action_type", "category")
 )
 def _(spark, root):
     goods = adapters.items(spark, root).select("item_id", "category")
-    wide = adapters.interactions_wide(spark, root).join(goods, "item_id", "left")
+    wide = adapters.interactions_wide(spark, root).select(
+        "user_id", "item_id", *(d for d in DIMENSIONS if d != "category")
+    )
+    # Joined once for all counts; a user's rows lie together, so most of a user's pairs with a
+    # value are dropped before they are shuffled.
+    wide = materialize(wide.join(goods, "item_id", "left").repartition("user_id"), "wide")
     out = None
     for dim in DIMENSIONS:
         users = counters.nunique_by(wide, dim, "user_id", name="users")

@@ -43,3 +43,10 @@ def test_against_sql(spark, con, name):
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns == ["user_id", "ndcg"] and df.count() > 0
+
+
+def test_nunique_by_joins_once(spark):
+    made = contract.queries()["nunique_by"](spark, ROOT)
+    # All counts read the stored join; none joins the lines with their orders again.
+    assert "l_orderkey" not in made._jdf.queryExecution().toString()
+    assert {r["dim"] for r in made.collect()} == {"os", "subdomain", "action_type", "category"}
