@@ -1,3 +1,5 @@
+import threading
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -119,6 +121,32 @@ def test_blocked_and_broadcast_scoring_agree(spark):
     assert key(one) == key(two) and one.count() == 150
 
 
+def test_scoring_repeats_neither_users_nor_items(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "USER_CHUNK", 4)
+    monkeypatch.setattr(scoring, "SLICE", 5)
+    rng = np.random.default_rng(6)
+    people = rng.integers(-2, 3, (30, 3)).astype(float)
+    goods = rng.integers(-2, 3, (40, 3)).astype(float)  # many equal scores
+    users = spark.createDataFrame(list(enumerate(people.tolist())), "user_id long, features array<double>")
+    items = spark.createDataFrame(list(enumerate(goods.tolist())), "item_id long, features array<float>")
+    recs = scoring.recommend_top_k(users, items, 6, block=7)
+    plan = recs._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "CoGroup" not in plan
+    got = sorted((r["user_id"], -r["score"], r["item_id"]) for r in recs.collect())
+    want = []
+    for user, scores in enumerate(people @ goods.T):
+        want += [(user, -scores[i], int(i)) for i in np.argsort(-scores, kind="stable")[:6]]
+    assert got == want
+
+
+def test_sweeping_ends_with_the_fit(spark, monkeypatch):
+    monkeypatch.setattr(als, "SWEEP_S", 0.05)
+    ran = []
+    with als.swept(spark):
+        ran += [t.name for t in threading.enumerate()]
+    assert len(ran) > len(threading.enumerate())
+
+
 def test_popularity_skips_seen_items(spark):
     events = spark.createDataFrame(
         [("u", i) for i in (1, 1, 1, 2, 2)] + [("v", 3), ("w", 4)], "user_id string, item_id int"
