@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.llm.held import only
 from clickloom.session import materialize
 
 RATE = 0.10
@@ -208,6 +209,7 @@ def _finder(shared, rate: float):
     held: list[Matcher] = []
 
     def matcher() -> Matcher:
+        only("decontam")
         if not held:
             held.append(Matcher(shared.value, rate))
         return held[0]

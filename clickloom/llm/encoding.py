@@ -23,6 +23,8 @@ from itertools import repeat
 import numpy as np
 import regex
 
+from clickloom.llm.held import keep
+
 # The byte-level splitting pattern, and the printable bytes that stand for themselves.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PRINTABLE = [(33, 126), (161, 172), (174, 255)]
@@ -352,11 +354,6 @@ class TextEncoder:
         return np.concatenate(ids_of), np.concatenate(spans)
 
 
-_loaded: dict[tuple[str, bool], TextEncoder] = {}
-
-
 def encoder(path: str, spans: bool = False) -> TextEncoder:
-    """The encoder of a tokenizer file, loaded once per Python worker."""
-    if (path, spans) not in _loaded:
-        _loaded[path, spans] = TextEncoder(path, spans)
-    return _loaded[path, spans]
+    """The encoder of a tokenizer file, loaded once per Python worker and stretch of such work."""
+    return keep("encoding", (path, spans), lambda: TextEncoder(path, spans))

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickloom.llm.held import only
 from clickloom.llm.linear import Linear, fit_in_one_task, fit_logistic
 from clickloom.session import materialize
 
@@ -170,6 +171,7 @@ def vote_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     @F.pandas_udf(T.IntegerType())
     def pattern(texts: pd.Series) -> pd.Series:
+        only("quality")
         return pd.Series([votes(t) for t in texts], dtype="int32")
 
     text = F.col(text_col).cast("string")
@@ -230,6 +232,7 @@ def train(
 
     @F.pandas_udf("index binary, value binary")
     def example(texts: pd.Series) -> pd.DataFrame:
+        only("quality")
         shapes, out = Shapes(), []
         for t in texts:
             index, value = features(t, shapes, bits)
@@ -261,6 +264,7 @@ def score(
 
     @F.pandas_udf(T.DoubleType())
     def scores(texts: pd.Series) -> pd.Series:
+        only("quality")
         if not held:
             held.append(Shapes())
         found = (features(t, held[0], bits) for t in texts)

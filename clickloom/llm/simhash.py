@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from clickloom.llm.components import components
 from clickloom.llm.files import partitions_of
+from clickloom.llm.held import only
 from clickloom.llm.skew import hot_keys, join_spread
 from clickloom.session import materialize
 
@@ -71,6 +72,7 @@ def fingerprints(text: Column, words: int = 4) -> Column:
 
     @F.pandas_udf(T.LongType())
     def of(texts: pd.Series) -> pd.Series:
+        only("simhash")
         found = np.fromiter((fingerprint(t, words) for t in texts), np.uint64, len(texts))
         return pd.Series(found.view(np.int64))
 
