@@ -370,3 +370,33 @@ def test_day_files_of_a_failed_task(spark, tmp_path, monkeypatch):
     source.write_day_files(rows, folder, parts=2)
     got = source.read_events(spark, folder).select("day", "id")
     assert sorted(map(tuple, got.collect())) == sorted((i % 4, i) for i in range(200))
+
+
+def test_window_facts_read_the_counters_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for frame in frames:
+            read.add(len(frame))
+            yield frame
+
+    rows = [(1, 2.0, 0), (1, 5.0, 1), (3, None, 0), (4, 1.5, 2)]
+    made = spark.createDataFrame(rows, "day int, price double, num_a long")
+    facts = rolling.window_facts(made.mapInPandas(count, made.schema), ["num_a"])
+    assert (facts.first, facts.last, facts.price) == (1, 4, (1.5, 5.0))
+    assert sorted(map(tuple, facts.present.collect())) == [(1, True), (3, False), (4, True)]
+    assert read.value == len(rows)
+
+
+def test_retail_counters_are_stored_once(spark, monkeypatch):
+    from clickloom.plans import queries_mart
+    from clickloom.plans.registry import QUERIES
+
+    stored = []
+    for module in (queries_mart, rolling):
+        keep = module.materialize
+        monkeypatch.setattr(
+            module, "materialize", lambda df, name, keep=keep: stored.append(name) or keep(df, name)
+        )
+    assert QUERIES["retail_features"](spark, "/root/testdata/sf0.001").count() > 0
+    assert stored == ["enriched"]
