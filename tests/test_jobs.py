@@ -400,3 +400,15 @@ def test_retail_counters_are_stored_once(spark, monkeypatch):
         )
     assert QUERIES["retail_features"](spark, "/root/testdata/sf0.001").count() > 0
     assert stored == ["enriched"]
+
+
+def test_sessions_and_user_features_are_not_broadcast(spark):
+    from clickloom.plans.catalog import QUERIES
+
+    ranked = QUERIES["build_basis"](spark, "/root/testdata/sf0.001")
+    feature = spark.createDataFrame([(1, 1, 2.0)], "user_id long, day int, f double")
+    rows = spark.createDataFrame([(2, 1, 7)], "day int, user_id long, item_id long")
+    made = assemble.build_dataset(rows, {("user_id",): feature}, day_from=1)
+    assert [r["f"] for r in made.collect()] == [2.0]
+    for df in (ranked, made):
+        assert "strategy=merge" in df._jdf.queryExecution().optimizedPlan().toString()
