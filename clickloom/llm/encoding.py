@@ -29,7 +29,8 @@ from clickloom.llm.held import keep
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PRINTABLE = [(33, 126), (161, 172), (174, 255)]
 
-PIECES = 1_500_000  # distinct stretches kept at a time; beyond that only those met again stay
+# Under 2/3 of 2**20, where a dict doubles; every Python worker of an executor holds such a table.
+PIECES = 650_000  # distinct stretches kept at a time; beyond that only those met again stay
 HELD = 1 << 25  # as for PIECES, in characters
 WORDS = 100  # new stretches joined to one text for the library, which is slower on long texts
 SLICE = 1 << 20  # pieces looked up at a time, which bounds memory on very long texts
@@ -48,26 +49,36 @@ def _byte_signs() -> dict[int, int]:
 
 
 class _Growing:
-    """An array that rows are added to; new rows wait in a list until the array is read."""
+    """An array that rows are added to; new rows wait in a list until the array is read. Room not
+    used yet takes no memory, as only zeroed pages that are written to do. A table of small
+    numbers turns to 64 bits once a value needs them."""
 
     def __init__(self, kind):
         self.data, self.size, self.new = np.zeros(1 << 12, kind), 0, []
 
+    def _put(self, values: np.ndarray) -> None:
+        to = self.size + len(values)
+        kind = self.data.dtype
+        if kind == np.int32 and len(values) and values.max() > np.iinfo(kind).max:
+            kind = np.dtype(np.int64)
+        if to > len(self.data) or kind != self.data.dtype:
+            room = len(self.data) if to <= len(self.data) else max(to, 2 * len(self.data))
+            more = np.zeros(room, kind)
+            more[: self.size] = self.data[: self.size]
+            self.data = more
+        self.data[self.size : to] = values
+        self.size = to
+
     def array(self) -> np.ndarray:
         if self.new:
-            to = self.size + len(self.new)
-            if to > len(self.data):
-                self.data = np.resize(self.data, max(to, 2 * len(self.data)))
-            self.data[self.size : to] = self.new
-            self.size, self.new = to, []
+            wide = np.int64 if self.data.dtype == np.int32 else self.data.dtype
+            values, self.new = np.array(self.new, wide), []
+            self._put(values)
         return self.data[: self.size]
 
-    def extend(self, values) -> None:
-        size = len(self.array())
-        if size + len(values) > len(self.data):
-            self.data = np.resize(self.data, max(size + len(values), 2 * len(self.data)))
-        self.data[size : size + len(values)] = values
-        self.size = size + len(values)
+    def extend(self, values: np.ndarray) -> None:
+        self.array()
+        self._put(values)
 
     def __len__(self) -> int:
         return self.size + len(self.new)
@@ -91,9 +102,9 @@ class _Stretches(dict):
 
     def clear(self):
         super().clear()
-        self.first, self.count, self.chars = (_Growing(np.int64) for _ in range(3))
+        self.first, self.count, self.chars = (_Growing(np.int32) for _ in range(3))
         self.opens, self.closes = _Growing(np.bool_), _Growing(np.bool_)
-        self.ids, self.begin, self.end = _Growing(np.uint32), _Growing(np.int64), _Growing(np.int64)
+        self.ids, self.begin, self.end = _Growing(np.uint32), _Growing(np.int32), _Growing(np.int32)
         self.held = 0
         self.again = np.zeros(1 << 12, np.bool_)  # by row: met in a batch after the one that added it
 

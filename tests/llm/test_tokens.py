@@ -1,5 +1,6 @@
 import itertools
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -57,6 +58,33 @@ def test_encoder_equals_library(tokenizer, monkeypatch):
             assert [tuple(s) for s in spans.tolist()] == whole.offsets
 
 
+def test_full_table_of_a_worker_is_small():
+    ours = encoding.TextEncoder(byte_bpe(), spans=False)
+    words = [f"w{i}" for i in range(100_000)]
+    texts = [" ".join(words[at : at + 100]) for at in range(0, len(words), 100)]
+    tracemalloc.start()
+    try:
+        for at in range(0, len(texts), 64):
+            ours.ids_of(texts[at : at + 64])
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert len(ours.store) >= len(words)
+    assert held / len(ours.store) * encoding.PIECES < 160 << 20
+
+
+def test_small_numbers_widen_where_a_value_needs_it():
+    for values in ([7, 1 << 40], [1 << 40, 3]):
+        by_list, by_array = encoding._Growing(np.int32), encoding._Growing(np.int32)
+        by_list.new += [*range(5000), *values]
+        by_array.extend(np.arange(5000))
+        by_array.extend(np.array(values))
+        want = [*range(5000), *values]
+        assert by_list.array().tolist() == by_array.array().tolist() == want
+        by_array.extend(np.array([9]))
+        assert by_array.array().tolist() == [*want, 9] and len(by_array) == 5003
+
+
 @pytest.mark.parametrize("spans", [False, True])
 def test_full_table_keeps_what_is_met_again(tokenizer, monkeypatch, spans):
     ours = encoding.TextEncoder(byte_bpe(), spans)
