@@ -274,6 +274,24 @@ def test_svd_of_any_rank(spark, dense):
     assert np.allclose(u, dense @ v, atol=1e-8 * top)
 
 
+def test_svd_in_blocks_until_it_settles(spark, monkeypatch):
+    """Many small blocks; too few steps for a slowly falling spectrum, so the space is renewed."""
+    monkeypatch.setattr(svd, "LEAST", 1)
+    monkeypatch.setattr(svd, "MOST", 40)
+    monkeypatch.setattr(svd, "CHUNK", 50)
+    rng = np.random.default_rng(8)
+    dense = np.where(rng.random((90, 70)) < 0.3, rng.random((90, 70)), 0.0)
+    rows = [(int(u) * 7, int(i), float(dense[u, i])) for u, i in zip(*np.nonzero(dense))]
+    pairs = spark.createDataFrame([*rows, (None, 3, 1.0), (2, None, 1.0)], "user_id long, item_id long, value double")
+    users, items, sigma = svd.truncated_svd(pairs, 3, steps=4, oversample=1, tolerance=1e-6)
+    v = np.array([r["features"] for r in items.orderBy("item_id").collect()])
+    u = np.array([r["features"] for r in users.orderBy("user_id").collect()])
+    assert np.allclose(sigma, np.linalg.svd(dense, compute_uv=False)[:3], atol=1e-8)
+    gap = np.linalg.norm(dense.T @ (dense @ v) - v * np.array(sigma) ** 2, axis=0)
+    assert gap.max() < 2e-6 * sigma[0] ** 2
+    assert np.allclose(u, dense @ v, atol=1e-10)
+
+
 def test_vae_steps_share_jobs(spark, blocks, monkeypatch):
     histories = blocks.groupBy("user_id").agg(
         F.array_sort(F.collect_list(F.struct("item_id", "target"))).alias("h")
