@@ -1,12 +1,13 @@
 import threading
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from clickloom.functions.numerics import top_columns
 from clickloom.operators import scoring
-from clickloom.operators.models import als, ease, multvae, popularity, svd
+from clickloom.operators.models import als, blocks as matrix, ease, multvae, popularity, svd
 from clickloom.plans.experiments import draw, run_trials
 
 
@@ -41,6 +42,50 @@ def test_als_recovers_blocks(blocks):
     assert seen.count() == 0
 
 
+def test_als_solves_its_normal_equations(spark, monkeypatch):
+    """Each side, given the other; rows shorter and longer than the factors, long ones added up."""
+    monkeypatch.setattr(matrix, "LEAST", 8)
+    monkeypatch.setattr(matrix, "CHUNK", 40)
+    monkeypatch.setattr(als, "LONG", 25)
+    monkeypatch.setattr(als, "SOLVED", 30)
+    rng = np.random.default_rng(9)
+    r = np.where(rng.random((60, 45)) < rng.random((60, 1)), rng.integers(-1, 4, (60, 45)), 0)
+    r[:, 0], r[0, :], r[3, 1:] = 1, 1, 0
+    cells = [(u, i, float(r[u, i])) for u, i in zip(*np.nonzero(r))] + [(5, int(np.flatnonzero(r[5] == 0)[0]), 0.0)]
+    events = spark.createDataFrame([(int(u), int(i), v) for u, i, v in cells], "user_id long, item_id long, target double")
+    model = als.fit_als(events, "target", factors=6, iterations=2, alpha=3.0, reg=0.1, min_n=1)
+    x = np.array([row["features"] for row in model.users.orderBy("user_id").collect()])
+    y = np.array([row["features"] for row in model.items.orderBy("item_id").collect()])
+    assert x.shape == (60, 6) and y.shape == (45, 6)
+    for u in range(60):
+        c = 3.0 * np.abs(r[u])
+        left = y.T @ y + (y * c[:, None]).T @ y + 0.1 * (r[u] > 0).sum() * np.eye(6)
+        want = np.linalg.solve(left, y.T @ ((1 + c) * (r[u] > 0)))
+        assert np.allclose(x[u], want, atol=1e-4), u
+
+
+def test_als_ends_as_low_as_sparks(spark, blocks):
+    from pyspark.ml.recommendation import ALS
+
+    rows = blocks.toPandas()
+    p = np.zeros((40, 20))
+    p[rows["user_id"], rows["item_id"]] = 1.0
+
+    def loss(users, items):
+        x = np.array([row[1] for row in sorted(users.collect())])
+        y = np.array([row[1] for row in sorted(items.collect())])
+        n = p.sum(axis=1) @ (x**2).sum(axis=1) + p.sum(axis=0) @ (y**2).sum(axis=1)
+        return ((1 + 10 * p) * (p - x @ y.T) ** 2).sum() + 0.05 * n
+
+    model = als.fit_als(blocks, "target", factors=4, iterations=12, alpha=10.0, reg=0.05, min_n=1)
+    spark_als = ALS(
+        rank=4, maxIter=12, regParam=0.05, alpha=10.0, implicitPrefs=True, userCol="user_id",
+        itemCol="item_id", ratingCol="target", seed=1,
+    )
+    other = spark_als.fit(blocks.selectExpr("int(user_id) user_id", "int(item_id) item_id", "target"))
+    assert loss(model.users, model.items) < 1.1 * loss(other.userFactors, other.itemFactors)
+
+
 def test_svd_matches_numpy(spark):
     rng = np.random.default_rng(3)
     dense = np.where(rng.random((50, 30)) < 0.4, rng.random((50, 30)) * 5, 0.0)
@@ -139,6 +184,42 @@ def test_scoring_repeats_neither_users_nor_items(spark, monkeypatch):
     assert got == want
 
 
+def test_scores_that_single_precision_cannot_tell_apart(spark, monkeypatch):
+    """Differences far under a float's, lengths from 1e-150 to 1e150, ties, zeros and seen items."""
+    monkeypatch.setattr(scoring, "SLICE", 16)
+    rng = np.random.default_rng(12)
+    base = rng.normal(size=4)
+    goods = base + rng.integers(0, 6, (150, 4)) * 1e-11
+    goods[40], goods[90] = 0.0, base * 1e-3
+    people = np.stack([base * 10.0 ** (e * 15) for e in range(-10, 11)] + [np.zeros(4), -base])
+    users = spark.createDataFrame(list(enumerate(people.tolist())), "user_id long, features array<double>")
+    items = spark.createDataFrame(list(enumerate(goods.tolist())), "item_id long, features array<double>")
+    seen = spark.createDataFrame([(u, i) for u in range(23) for i in range(u, 150, 7)], "user_id long, item_id long")
+    recs = scoring.recommend_top_k(users, items, 5, seen, block=33)
+    exact = np.einsum("uf,if->ui", people, goods)
+    for user in range(23):
+        mine = sorted((r for r in recs.collect() if r["user_id"] == user), key=lambda r: (-r["score"], r["item_id"]))
+        left = [i for i in range(150) if (i - user) % 7 or i < user]
+        want = sorted(left, key=lambda i: (-exact[user, i], i))[:5]
+        got = [exact[user, r["item_id"]] for r in mine]
+        assert len(mine) == 5 and np.allclose(got, exact[user, want], rtol=2e-15, atol=0), user
+
+
+def test_long_catalogues_are_ruled_out_in_single_precision(monkeypatch):
+    """Scores in double precision only where one of the k best may change."""
+    rng = np.random.default_rng(13)
+    people, goods = rng.normal(size=(20, 8)), rng.normal(size=(4_000, 8))
+    done = []
+    merge = scoring._Best._merge
+    monkeypatch.setattr(scoring._Best, "_merge", lambda self, r, c, v: (done.append(len(r)), merge(self, r, c, v)))
+    best = scoring._Best(people, pd.Series([None] * 20), 5)
+    for start in range(0, 4_000, 1_000):
+        best.add(scoring._Goods(goods[start : start + 1_000], start))
+    scores = people @ goods.T
+    assert (best.best == np.argsort(-scores, axis=1, kind="stable")[:, :5]).all()
+    assert sum(done) < 20 * 60
+
+
 def test_sweeping_ends_with_the_fit(spark, monkeypatch):
     monkeypatch.setattr(als, "SWEEP_S", 0.05)
     ran = []
@@ -276,9 +357,9 @@ def test_svd_of_any_rank(spark, dense):
 
 def test_svd_in_blocks_until_it_settles(spark, monkeypatch):
     """Many small blocks; too few steps for a slowly falling spectrum, so the space is renewed."""
-    monkeypatch.setattr(svd, "LEAST", 1)
-    monkeypatch.setattr(svd, "MOST", 40)
-    monkeypatch.setattr(svd, "CHUNK", 50)
+    monkeypatch.setattr(matrix, "LEAST", 1)
+    monkeypatch.setattr(matrix, "MOST", 40)
+    monkeypatch.setattr(matrix, "CHUNK", 50)
     rng = np.random.default_rng(8)
     dense = np.where(rng.random((90, 70)) < 0.3, rng.random((90, 70)), 0.0)
     rows = [(int(u) * 7, int(i), float(dense[u, i])) for u, i in zip(*np.nonzero(dense))]
