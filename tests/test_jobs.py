@@ -1,3 +1,4 @@
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -412,3 +413,42 @@ def test_sessions_and_user_features_are_not_broadcast(spark):
     assert [r["f"] for r in made.collect()] == [2.0]
     for df in (ranked, made):
         assert "strategy=merge" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("keys", [("user_id",), ("user_id", "item_id"), ("user_id", "brand_id"), ("brand_id",)])
+@pytest.mark.parametrize("absent", ["null", "zero"])
+def test_ranges_are_the_days_of_the_layer(spark, tmp_path, keys, absent):
+    """Rows per range of days hold those per day; they shuffle and store fewer, and join the same."""
+    rng = np.random.default_rng(21)
+    cells = {(int(d), int(u), int(i)) for d, u, i in zip(rng.integers(3, 60, 150), rng.integers(0, 5, 150), rng.integers(0, 6, 150))}
+    rows = [(d, u, i, i % 3 or None, None if i == 4 else float(i), int(rng.integers(0, 3))) for d, u, i in sorted(cells)]
+    df = spark.createDataFrame(
+        rows, "day int, user_id long, item_id long, brand_id long, price double, num_view_u2i long"
+    )
+    kw = {"absent_day": absent, "day_from": 10, "counters": ["num_view_u2i"]}
+    want = rolling.rolling_features(df, keys, 9, **kw)
+    got = rolling.rolling_features(df, keys, 9, ranges=True, **kw)
+    if "user_id" not in keys:
+        assert got.columns == want.columns
+        return
+    listed = sorted(map(tuple, want.collect()), key=repr)
+    daily = rolling.each_day(got).select(*want.columns)
+    assert sorted(map(tuple, daily.collect()), key=repr) == listed and got.count() < len(listed)
+    layers.write_ranges(got, str(tmp_path / "layer"), days=7)
+    again = layers.read_layer(spark, str(tmp_path / "layer")).select(*want.columns)
+    assert sorted(map(tuple, again.collect()), key=repr) == listed
+    ranked = df.selectExpr(
+        "concat(day, '__', user_id) session_id", "day", "user_id", "item_id", "brand_id", "float(1) label"
+    )
+    one = assemble.build_dataset(ranked, {keys: want}, rebalance=True)
+    two = assemble.build_dataset(ranked, {keys: got})
+    assert sorted(map(tuple, one.collect()), key=repr) == sorted(map(tuple, two.collect()), key=repr)
+
+
+def test_whole_numbers_are_rounded_as_others(spark):
+    from clickloom.plans.queries_mart import _flat
+
+    values = [0.0, -0.0, 3.0, -7.0, 1e300, 0.00005, 2.34565, -1.99995, 1 / 3, float("nan"), float("inf"), None]
+    df = spark.createDataFrame([(n, v) for n, v in enumerate(values)], "n int, f_num__x double")
+    plain = df.selectExpr("n", "round(f_num__x, 4) AS f_num__x")
+    assert repr(sorted(map(tuple, _flat(df).collect()))) == repr(sorted(map(tuple, plain.collect())))
