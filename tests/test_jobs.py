@@ -440,7 +440,7 @@ def test_ranges_are_the_days_of_the_layer(spark, tmp_path, keys, absent):
     ranked = df.selectExpr(
         "concat(day, '__', user_id) session_id", "day", "user_id", "item_id", "brand_id", "float(1) label"
     )
-    one = assemble.build_dataset(ranked, {keys: want}, rebalance=True)
+    one = assemble.build_dataset(ranked, {keys: want}, by_day=True)
     two = assemble.build_dataset(ranked, {keys: got})
     assert sorted(map(tuple, one.collect()), key=repr) == sorted(map(tuple, two.collect()), key=repr)
 
